@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.plans.counts import version_counts
+from tidemark.functions.builds import build_day
 from tidemark.plans.curves import adoption_curves
 
 APP = "desktop"
@@ -13,15 +14,23 @@ REGISTRY_FROM = "20230101"
 DISPLAY_BEFORE = "2024-01-31"
 
 CLIENTS_SQL = """
-WITH base AS (
-  SELECT *,
+WITH items AS (
+  SELECT l_orderkey, l_linenumber, l_partkey,
     CAST((l_orderkey * 7 + l_linenumber * 3) % 30 AS INT) AS d,
     CAST(l_quantity AS INT) % 4 AS lag,
+    CASE WHEN l_partkey % 10 < 7 THEN 'Windows_NT' WHEN l_partkey % 10 = 7 THEN 'Darwin'
+      WHEN l_partkey % 10 = 8 THEN 'Linux' ELSE 'Android' END AS os,
+    CASE l_suppkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 25 WHEN 3 THEN 26
+      WHEN 4 THEN 50 WHEN 5 THEN 51 WHEN 6 THEN 75 ELSE 1 END AS sample_id
+  FROM {lineitem}
+), channels AS (
+  SELECT o_orderkey,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'release' WHEN '2-HIGH' THEN 'beta'
       WHEN '3-MEDIUM' THEN 'nightly' WHEN '4-NOT SPECIFIED' THEN 'aurora' ELSE 'esr' END AS chan
-  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+  FROM {orders}
 ), cycles AS (
-  SELECT *, 70 + CAST(floor((d - lag + 6) / 6.0) AS INT) AS vnum, (d - lag + 6) % 6 AS cyc FROM base
+  SELECT *, 70 + (d - lag + 6) DIV 6 AS vnum, (d - lag + 6) % 6 AS cyc
+  FROM items JOIN channels ON l_orderkey = o_orderkey
 ), versions AS (
   SELECT *,
     CASE WHEN l_partkey % 97 = 0 THEN concat('60.0.', CAST(l_partkey % 7 AS STRING))
@@ -37,17 +46,15 @@ WITH base AS (
 SELECT
   date_add(DATE '2024-01-01', d) AS submission_date,
   'desktop' AS app_name,
-  CASE WHEN l_partkey % 10 < 7 THEN 'Windows_NT' WHEN l_partkey % 10 = 7 THEN 'Darwin'
-    WHEN l_partkey % 10 = 8 THEN 'Linux' ELSE 'Android' END AS os,
+  os,
   chan AS normalized_channel,
   chan AS channel,
-  CASE l_suppkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 25 WHEN 3 THEN 26
-    WHEN 4 THEN 50 WHEN 5 THEN 51 WHEN 6 THEN 75 ELSE 1 END AS sample_id,
+  sample_id,
   app_version,
   CASE WHEN chan IN ('beta', 'aurora') AND cyc < 5
     THEN concat(CAST(vnum AS STRING), '.0b', CAST(cyc + 1 AS STRING)) ELSE app_version END AS app_display_version,
   CASE WHEN l_partkey % 89 = 0 THEN '20150101000000'
-    ELSE concat(replace(CAST(date_add(DATE '2024-01-01', build_offset) AS STRING), '-', ''), '100000')
+    ELSE concat(replace(CAST(date_add(DATE '2024-01-01', CAST(build_offset AS INT)) AS STRING), '-', ''), '100000')
   END AS app_build_id,
   l_linenumber AS shard
 FROM versions
