@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.joins_and_quality import CURVE_KEYS, ORDER_SQL, matched, shares
 from checks.registered import check
-from checks.rows import WINDOW_SQL, date_lookup, release_dates, sampled, windowed
+from checks.rows import WINDOW_SQL, sampled, windowed
 from checks.sql import PUB_DAY, PUB_TEXT, RELEASE_MAJOR, rounded
 from tidemark.functions.builds import nearest_build_day
 from tidemark.operators import aggregates as A
@@ -32,7 +32,7 @@ def _(spark, sf_dir):
 
 @check("agg_reduced_counts", "SELECT * FROM counts")
 def _(spark, sf_dir):
-    return fx.counts(spark, sf_dir)
+    return C.reduce_counts(C.fold_rare(C.count_versions(sampled(spark, sf_dir))))
 
 
 DAILY_SQL = f"SELECT submission_date, app_version, count(*) AS n FROM clients WHERE {WINDOW_SQL} GROUP BY ALL"
@@ -120,13 +120,14 @@ SELECT version, string_agg('''' || build_id || '''', ', ' ORDER BY build_id DESC
 FROM norc_builds WHERE channel = 'beta' GROUP BY version
 """)
 def _(spark, sf_dir):
-    return registry.version_build_list(registry.beta_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP))
+    return registry.version_build_list(registry.of_channel(fx.builds(spark, sf_dir), "beta"))
 
 
 @check("agg_daily_share_gt1", """
 SELECT submission_date, vers, n, dayn, n / dayn * 100 AS n_perc FROM (
-  SELECT submission_date, vers, CAST(sum(n) AS BIGINT) AS n, CAST(sum(sum(n)) OVER (PARTITION BY submission_date) AS BIGINT) AS dayn
-  FROM counts WHERE chan = 'release' AND os = 'Windows_NT' GROUP BY ALL
+  SELECT *, CAST(sum(n) OVER (PARTITION BY submission_date) AS BIGINT) AS dayn FROM (
+    SELECT submission_date, vers, CAST(sum(n) AS BIGINT) AS n
+    FROM counts WHERE chan = 'release' AND os = 'Windows_NT' GROUP BY submission_date, vers)
 ) WHERE n / dayn * 100 > 1
 """)
 def _(spark, sf_dir):
@@ -181,12 +182,11 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Counts with and without a release date, old builds left out."""
     aurora = fx.counts(spark, sf_dir).where("chan = 'aurora' AND length(bid) > 8")
-    dated = J.join_release_date(aurora, date_lookup(spark, sf_dir)).withColumn("undated", F.col("rls_date").isNull())
+    dated = J.join_release_date(aurora, fx.date_lookup(spark, sf_dir)).withColumn("undated", F.col("rls_date").isNull())
     return A.match_rate(dated, ["os"], "undated")
 
 
-@check("top_k_rows", match_sql("os, vers, dvers, bid", "same_dv", "matched").replace(
-    "FROM matched GROUP BY", "FROM matched GROUP BY", 1) + "ORDER BY tot DESC, os, vers, dvers, bid LIMIT 30")
+@check("top_k_rows", match_sql("os, vers, dvers, bid", "same_dv", "matched") + "ORDER BY tot DESC, os, vers, dvers, bid LIMIT 30")
 def _(spark, sf_dir):
     keys = ["os", "vers", "dvers", "bid"]
     rated = A.match_rate(matched(spark, sf_dir), keys, "same_dv")
@@ -333,7 +333,7 @@ SELECT c.chan, c.os, c.vers, c.dvers, c.submission_date, c.bid, min(rls_date) OV
 FROM counts c LEFT JOIN date_lookup l ON c.chan = l.chan AND c.dvers = l.version
 """)
 def _(spark, sf_dir):
-    dated = J.join_release_date(fx.counts(spark, sf_dir), date_lookup(spark, sf_dir))
+    dated = J.join_release_date(fx.counts(spark, sf_dir), fx.date_lookup(spark, sf_dir))
     with_first = with_group(dated, ["chan", "os", "vers"], vers_pub_date=F.min("rls_date"))
     return with_first.select("chan", "os", "vers", "dvers", "submission_date", "bid", "vers_pub_date")
 
@@ -377,7 +377,7 @@ SELECT chan, os, bidd, n, sum(n) OVER (PARTITION BY chan, os ORDER BY bidd) / su
   SELECT chan, os, CAST(strptime(substr(bid, 1, 8), '%Y%m%d') AS DATE) AS bidd, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL)
 """)
 def _(spark, sf_dir):
-    counts = fx.counts(spark, sf_dir).withColumn("bidd", F.coalesce(nearest_build_day(F.col("bid")), fx.build_day(F.col("bid"))))
+    counts = fx.counts(spark, sf_dir).withColumn("bidd", nearest_build_day(F.col("bid")))
     return R.running_share(counts, ["chan", "os"], "bidd", "n", "cdf")
 
 
@@ -393,7 +393,7 @@ def _(spark, sf_dir):
 SELECT version, min({PUB_DAY}) AS date FROM norc_builds WHERE channel = 'beta' AND NOT contains(version, 'b') GROUP BY version
 """)
 def _(spark, sf_dir):
-    builds = registry.beta_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP)
+    builds = registry.of_channel(fx.builds(spark, sf_dir), "beta")
     rc = builds.where(~F.col("version").contains("b")).select("version", "date")
     return R.first_per(rc, ["version"], ["date"]).withColumn("date", F.col("date").cast("date"))
 
@@ -403,7 +403,7 @@ SELECT version, arg_max(build_id, pub_ms) AS build_id, strftime(epoch_ms(max(pub
 FROM norc_builds WHERE channel = 'release' AND {RELEASE_MAJOR} IS NOT NULL GROUP BY version
 """)
 def _(spark, sf_dir):
-    builds = registry.release_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP).where("is_major")
+    builds = registry.of_channel(fx.builds(spark, sf_dir), "release").where("is_major")
     last = R.last_per(builds.select("version", "build_id", "date"), ["version"], ["date", "build_id"])
     return last.withColumn("date", F.col("date").cast("string"))
 
@@ -416,14 +416,14 @@ SELECT date, version, src, maj_vers FROM (
   SELECT * FROM release_dates WHERE date < DATE '2024-01-20' ORDER BY date DESC, version DESC, src DESC LIMIT 3)
 """)
 def _(spark, sf_dir):
-    return releases.latest_releases(release_dates(spark, sf_dir), "2024-01-20", 3)
+    return releases.latest_releases(fx.release_dates(spark, sf_dir), "2024-01-20", 3)
 
 
 @check("top_current_major", """
 SELECT CAST(split_part(version, '.', 1) AS INTEGER) AS current_major FROM majors ORDER BY date DESC, version DESC LIMIT 1
 """)
 def _(spark, sf_dir):
-    return releases.current_major(releases.major_releases(fx.major_documents(spark, sf_dir), "2010-01-01"))
+    return releases.current_major(fx.major_list(spark, sf_dir, "2010-01-01"))
 
 
 @check("sort_output", "SELECT os, channel, vers, submission_date, nth_recent_release FROM top_curves ORDER BY os, channel, nth_recent_release")
@@ -434,5 +434,5 @@ def _(spark, sf_dir):
 
 @check("sort_registry", f"SELECT version, build_id, {PUB_TEXT} AS date FROM norc_builds WHERE channel = 'beta' ORDER BY pub_ms")
 def _(spark, sf_dir):
-    builds = registry.beta_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP)
+    builds = registry.of_channel(fx.builds(spark, sf_dir), "beta")
     return builds.orderBy("date").select("version", "build_id", F.col("date").cast("string").alias("date"))

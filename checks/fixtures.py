@@ -1,16 +1,23 @@
-"""Entities of the pipeline as views over the given tables: one line item is one client day."""
+"""Entities of the pipeline as views over the given tables: one line item is one client day.
+
+The jobs hand over through tables, and so do these: the registry, the release lists, the counts and
+the curves are written once per session and folder, and later steps read what was written.
+"""
+
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import config
+from tidemark import config, schemas
+from tidemark.plans import jobs
 from tidemark.plans.counts import version_counts
-from tidemark.functions.builds import build_day
-from tidemark.plans.curves import adoption_curves
+from tidemark.session import scratch_path
+from tidemark.sources import registry, releases, sinks
 
 APP = "desktop"
 FIRST, LAST = "2024-01-01", "2024-01-30"
-REGISTRY_FROM = "20230101"
+REGISTRY_FROM = "2023"
 DISPLAY_BEFORE = "2024-01-31"
 
 CLIENTS_SQL = """
@@ -67,21 +74,81 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CLIENTS_SQL, **paths)
 
 
-def counts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """The counts table of all days."""
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a table derived from ``sf_dir``, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def fresh_counts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The counts of all days, computed from the client days."""
     return version_counts(clients(spark, sf_dir), FIRST, LAST, APP, **options)
 
 
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored counts table."""
+    path = stored(spark, sf_dir, "counts", lambda p: sinks.append_counts(fresh_counts(spark, sf_dir), p))
+    return spark.read.parquet(path).select(*schemas.VERSION_COUNTS.fieldNames())
+
+
 def test_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts with a smaller beta sample: the table to compare with."""
-    return counts(spark, sf_dir, bounds=config.SAMPLE_BOUNDS | {"beta": (None, 25)})
+    bounds = config.SAMPLE_BOUNDS | {"beta": (None, 25)}
+    write = lambda p: sinks.append_counts(fresh_counts(spark, sf_dir, bounds=bounds), p)
+    path = stored(spark, sf_dir, "test_counts", write)
+    return spark.read.parquet(path).select(*schemas.VERSION_COUNTS.fieldNames())
 
 
 def curves(spark: SparkSession, sf_dir: str, as_of: str = LAST) -> DataFrame:
-    return adoption_curves(counts(spark, sf_dir), as_of)
+    """The stored curve table of a run as of a date."""
+    write = lambda p: jobs.run_curves(counts(spark, sf_dir), p, as_of, target_exists=False)
+    path = stored(spark, sf_dir, f"curves-{as_of}", write)
+    return spark.read.parquet(path).select(*schemas.CURVES.fieldNames())
+
+
+def builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored build dimension of the release, beta and aurora channels."""
+    build = lambda p: registry.channel_builds(registry_records(spark, sf_dir), REGISTRY_FROM, product=APP).write.parquet(p)
+    return spark.read.parquet(stored(spark, sf_dir, "builds", build))
+
+
+def product_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product releases parsed from the stored JSON documents."""
+    path = stored(spark, sf_dir, "releases", lambda p: release_documents(spark, sf_dir).write.text(p))
+    return releases.product_releases(spark.read.text(path), "value")
+
+
+def major_list(spark: SparkSession, sf_dir: str, after: str) -> DataFrame:
+    path = stored(spark, sf_dir, "majors", lambda p: major_documents(spark, sf_dir).write.text(p))
+    return releases.major_releases(spark.read.text(path), after, "value")
 
 
 def registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored flat build registry."""
+    path = stored(spark, sf_dir, "registry", lambda p: _registry_records(spark, sf_dir).write.parquet(p))
+    return spark.read.schema(schemas.REGISTRY_RECORDS).parquet(path)
+
+
+def release_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Development releases together with the first release-candidate builds."""
+    beta = registry.of_channel(builds(spark, sf_dir), "beta")
+    return releases.beta_release_dates(product_releases(spark, sf_dir), beta)
+
+
+def date_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Release dates by channel and version."""
+    aurora = registry.of_channel(builds(spark, sf_dir), "aurora")
+    return releases.channel_release_dates(product_releases(spark, sf_dir), release_dates(spark, sf_dir), aurora)
+
+
+def _registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flat build registry: one record per build, version, platform, locale and time."""
     build_day = F.to_date(F.substring("app_build_id", 1, 8), "yyyyMMdd")
     published = F.unix_date(build_day).cast("long") * 86_400_000 + (10 + F.col("shard") % 3) * 3_600_000

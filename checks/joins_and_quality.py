@@ -4,16 +4,15 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registered import check
-from checks.rows import date_lookup, release_dates, sampled
+from checks.rows import sampled
 from checks.sql import rounded
-from tidemark.operators import aggregates as A
 from tidemark.operators import joins as J
 from tidemark.operators import quality as Q
 from tidemark.operators.totals import with_share
 from tidemark.plans import curves as K
 from tidemark.plans import serve
 from tidemark.plans.counts import count_versions
-from tidemark.sources import registry, releases
+from tidemark.sources import registry
 
 CURVE_KEYS = ["channel", "os", "vers", "submission_date"]
 COUNT_KEYS = ["submission_date", "chan", "os", "dvers", "vers", "bid", "n"]
@@ -21,11 +20,7 @@ COUNT_KEYS = ["submission_date", "chan", "os", "dvers", "vers", "bid", "n"]
 
 def dated_builds(spark, sf_dir):
     """Release and beta builds, as (chan, build_id, version, date)."""
-    records = fx.registry_records(spark, sf_dir)
-    columns = ["version", "build_id", "date", "chan"]
-    return registry.release_builds(records, "2023", fx.APP).select(*columns).unionByName(
-        registry.beta_builds(records, "2023", fx.APP).select(*columns)
-    )
+    return fx.builds(spark, sf_dir).where(F.col("chan").isin("release", "beta"))
 
 
 def matched(spark, sf_dir):
@@ -41,7 +36,7 @@ def _(spark, sf_dir):
 SELECT c.*, rls_date FROM counts c LEFT JOIN date_lookup l ON c.chan = l.chan AND c.dvers = l.version
 """)
 def _(spark, sf_dir):
-    return J.join_release_date(fx.counts(spark, sf_dir), date_lookup(spark, sf_dir))
+    return J.join_release_date(fx.counts(spark, sf_dir), fx.date_lookup(spark, sf_dir))
 
 
 def shares(spark, sf_dir):
@@ -142,7 +137,7 @@ def _(spark, sf_dir):
 
 @check("join_anti_versions", "SELECT DISTINCT dvers FROM counts WHERE dvers NOT IN (SELECT version FROM release_dates)")
 def _(spark, sf_dir):
-    return J.versions_without_date(fx.counts(spark, sf_dir), release_dates(spark, sf_dir))
+    return J.versions_without_date(fx.counts(spark, sf_dir), fx.release_dates(spark, sf_dir))
 
 
 # ---- Data checks ----
@@ -207,7 +202,7 @@ def _(spark, sf_dir):
 
 @check("dq_integer_major", "SELECT version FROM majors WHERE TRY_CAST(version AS INTEGER) IS NULL")
 def _(spark, sf_dir):
-    every = releases.major_releases(fx.major_documents(spark, sf_dir), after="2000-01-01")
+    every = fx.major_list(spark, sf_dir, "2000-01-01")
     return Q.non_integer_majors(every).select("version")
 
 

@@ -103,20 +103,7 @@ RELEASE_SQL = "category IN ('major', 'stability') AND date > DATE '2019-01-01' A
 
 @check("flt_release_rows", f"SELECT release_label, date, category, version FROM releases WHERE {RELEASE_SQL}")
 def _(spark, sf_dir):
-    listed = releases.product_releases(fx.release_documents(spark, sf_dir))
-    return releases.release_rows(listed).select("release_label", "date", "category", "version")
-
-
-def release_dates(spark, sf_dir):
-    """Development releases together with the first release-candidate builds."""
-    listed = releases.product_releases(fx.release_documents(spark, sf_dir))
-    return releases.beta_release_dates(listed, registry.beta_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP))
-
-
-def date_lookup(spark, sf_dir):
-    listed = releases.product_releases(fx.release_documents(spark, sf_dir))
-    aurora = registry.aurora_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP)
-    return releases.channel_release_dates(listed, release_dates(spark, sf_dir), aurora)
+    return releases.release_rows(fx.product_releases(spark, sf_dir)).select("release_label", "date", "category", "version")
 
 
 @check("prj_channel_unify", """
@@ -128,7 +115,7 @@ FROM counts c LEFT JOIN date_lookup l ON c.chan = l.chan AND c.dvers = l.version
 WHERE c.chan IN ('release', 'beta', 'aurora', 'nightly')
 """)
 def _(spark, sf_dir):
-    return K.unify_with_release_dates(fx.counts(spark, sf_dir), date_lookup(spark, sf_dir))
+    return K.unify_with_release_dates(fx.counts(spark, sf_dir), fx.date_lookup(spark, sf_dir))
 
 
 CURVE_KEYS = ["channel", "os", "vers", "submission_date"]
@@ -231,7 +218,7 @@ def _(spark, sf_dir):
 
 @check("flt_min_bid", "SELECT * FROM counts WHERE bid >= (SELECT min(build_id) FROM norc_builds WHERE channel = 'release')")
 def _(spark, sf_dir):
-    builds = registry.release_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP)
+    builds = registry.of_channel(fx.builds(spark, sf_dir), "release")
     return filters.at_least_build(fx.counts(spark, sf_dir), builds)
 
 
@@ -252,7 +239,7 @@ def _(spark, sf_dir):
 
 @check("set_union_releases", "SELECT date, version, src, maj_vers FROM release_dates")
 def _(spark, sf_dir):
-    return release_dates(spark, sf_dir)
+    return fx.release_dates(spark, sf_dir)
 
 
 @check("set_union_channels", unified("counts").replace("dvers, bid, n", "bid, n, CASE WHEN chan = 'nightly' THEN dvers END AS dvers"))

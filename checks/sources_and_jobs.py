@@ -15,7 +15,7 @@ from tidemark.plans import jobs
 from tidemark.plans.counts import version_counts
 from tidemark.plans.curves import adoption_curves
 from tidemark.session import scratch_path
-from tidemark.sources import registry, releases, sinks, tables
+from tidemark.sources import registry, sinks, tables
 
 CHANNELS = ["release", "esr", "beta", "aurora", "nightly"]
 CURVE_COLUMNS = ", ".join(schemas.CURVES.fieldNames())
@@ -70,8 +70,7 @@ def _(spark, sf_dir):
 
 @check("src_product_releases", "SELECT release_label, date, category, version FROM releases")
 def _(spark, sf_dir):
-    documents = fx.release_documents(spark, sf_dir)
-    return releases.product_releases(documents).select("release_label", "date", "category", "version")
+    return fx.product_releases(spark, sf_dir).select("release_label", "date", "category", "version")
 
 
 @check("src_channel_builds", f"""
@@ -82,12 +81,10 @@ UNION ALL SELECT version, build_id, {PUB_TEXT}, channel, {RELEASE_MAJOR}, {RELEA
 FROM norc_builds WHERE channel = 'release'
 """)
 def _(spark, sf_dir):
-    records = fx.registry_records(spark, sf_dir)
-    builds = (
-        registry.beta_builds(records, "2023", fx.APP)
-        .unionByName(registry.aurora_builds(records, "2023", fx.APP))
-        .unionByName(registry.release_builds(records, "2023", fx.APP), allowMissingColumns=True)
-    )
+    every = registry.channel_builds(fx.registry_records(spark, sf_dir), fx.REGISTRY_FROM, product=fx.APP)
+    release = registry.of_channel(every, "release")
+    others = every.where("chan <> 'release'")
+    builds = release.unionByName(others, allowMissingColumns=True)
     return builds.withColumn("date", F.col("date").cast("string"))
 
 
@@ -104,7 +101,7 @@ def _(spark, sf_dir):
 SELECT date, version, TRY_CAST(version AS INTEGER) AS vers FROM majors WHERE date > DATE '2018-01-01'
 """)
 def _(spark, sf_dir):
-    return releases.major_releases(fx.major_documents(spark, sf_dir))
+    return fx.major_list(spark, sf_dir, "2018-01-01")
 
 
 @check("src_counts_read", """
@@ -133,7 +130,7 @@ def _count_columns(df: DataFrame) -> DataFrame:
 
 @check("src_version_counts_all", "SELECT * FROM counts")
 def _(spark, sf_dir):
-    return _count_columns(tables.read_table(spark, _stored_counts(spark, sf_dir)))
+    return fx.counts(spark, sf_dir)
 
 
 @check("sink_counts_append", "SELECT * FROM counts")
@@ -165,7 +162,7 @@ SELECT {CURVE_COLUMNS} FROM curves20
 UNION ALL SELECT {CURVE_COLUMNS} FROM curves WHERE submission_date > DATE '2024-01-20'
 """)
 def _(spark, sf_dir):
-    counts = tables.read_table(spark, _stored_counts(spark, sf_dir))
+    counts = fx.counts(spark, sf_dir)
     target = scratch_path(spark, "curves")
     jobs.run_curves(counts, target, "2024-01-20", target_exists=False)
     for _ in range(2):  # the second run finds nothing new
@@ -180,12 +177,8 @@ FROM shown
 def _(spark, sf_dir):
     target = scratch_path(spark, "feed")
     jobs.run_serve(fx.curves(spark, sf_dir), target, fx.DISPLAY_BEFORE)
-    schema = T.StructType([f for f in schemas.CURVES.fields if f.name in ("vers", "submission_date", "n", "n_pct", "build_ids")])
-    for name, kind in (
-        ("show_n", "int"), ("version", "string"), ("week_day", "string"), ("days_after_release", "int"),
-        ("release_day", "date"), ("channel", "string"), ("os", "string"),
-    ):
-        schema = schema.add(name, kind)
+    schema = """vers string, submission_date date, n long, n_pct double, build_ids string, show_n int, version string,
+        week_day string, days_after_release int, release_day date, channel string, os string"""
     return spark.read.schema(schema).json(target)
 
 
@@ -199,8 +192,8 @@ def _(spark, sf_dir):
 
 
 _BACKFILL_SQL = f"""
-WITH asof AS (SELECT CAST(unnest(range(DATE '2024-01-21', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS as_of),
-seen AS (SELECT a.as_of, c.* FROM asof a JOIN curves_unified c ON c.submission_date <= a.as_of),
+WITH runs AS (SELECT CAST(unnest(range(DATE '2024-01-21', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS as_of),
+seen AS (SELECT a.as_of, c.* FROM runs a JOIN curves_unified c ON c.submission_date <= a.as_of),
 r AS (SELECT as_of, channel, os, vers, submission_date, string_agg(bid, chr(10) ORDER BY bid) AS build_ids,
     min(bid) AS min_build_id, max(bid) AS max_bid, CAST(sum(n) AS BIGINT) AS n FROM seen GROUP BY ALL),
 d AS (SELECT as_of, channel, os, submission_date, CAST(sum(n) AS BIGINT) AS total FROM seen GROUP BY ALL),
@@ -248,8 +241,8 @@ def _(spark, sf_dir):
     return jobs.version_dimension(
         counts.select(F.col("vers").alias("version")),
         counts.select(F.col("dvers").alias("version")),
-        registry.beta_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP),
-        releases.product_releases(fx.release_documents(spark, sf_dir)),
+        registry.of_channel(fx.builds(spark, sf_dir), "beta"),
+        fx.product_releases(spark, sf_dir),
     )
 
 
@@ -267,7 +260,7 @@ FROM norc_builds WHERE channel = 'beta'
 """)
 def _(spark, sf_dir):
     """Registry builds with every date column derived from them."""
-    builds = registry.label_rc_builds(registry.beta_builds(fx.registry_records(spark, sf_dir), "2023", fx.APP))
+    builds = registry.label_rc_builds(registry.of_channel(fx.builds(spark, sf_dir), "beta"))
     day = F.col("date").cast("date")
     return builds.select(
         "chan",
@@ -286,7 +279,7 @@ def _(spark, sf_dir):
 
 @check("job_curves", f"SELECT {CURVE_COLUMNS} FROM curves")
 def _(spark, sf_dir):
-    return fx.curves(spark, sf_dir)
+    return adoption_curves(fx.counts(spark, sf_dir), fx.LAST)
 
 
 def _text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

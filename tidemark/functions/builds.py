@@ -39,12 +39,11 @@ def build_day(build_id: Column) -> Column:
 
 def nearest_build_day(build_id: Column) -> Column:
     """Build time rounded to the nearest day; exactly noon goes to the even day."""
-    seconds = (
-        F.substring(build_id, 9, 2).try_cast("int") * 3600
-        + F.substring(build_id, 11, 2).try_cast("int") * 60
-        + F.substring(build_id, 13, 2).try_cast("int")
-    )
-    day = build_day(build_id)
+
+    def part(start: int) -> Column:
+        return F.coalesce(F.substring(build_id, start, 2).try_cast("int"), F.lit(0))
+
+    day, seconds = build_day(build_id), part(9) * 3600 + part(11) * 60 + part(13)
     odd = F.pmod(F.unix_date(day), F.lit(2)) == 1
     up = (seconds > 43200) | ((seconds == 43200) & odd)
     return F.when(up, F.date_add(day, 1)).otherwise(day)

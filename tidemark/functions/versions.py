@@ -47,14 +47,10 @@ def sortable_beta(version: Column) -> Column:
     return F.when(version.contains("b"), padded).otherwise(version)
 
 
-def version_kind(version: Column, keep_rc: bool = False, keep_release: bool = False) -> Column:
+def version_kind(version: Column, keep_rc: bool | Column = False, keep_release: bool | Column = False) -> Column:
     """True for versions to keep: no ``rc`` and a ``b`` in it, unless told otherwise."""
-    keep = F.lit(True)
-    if not keep_rc:
-        keep = keep & ~version.contains("rc")
-    if not keep_release:
-        keep = keep & version.contains("b")
-    return keep
+    keep_rc, keep_release = (k if isinstance(k, Column) else F.lit(k) for k in (keep_rc, keep_release))
+    return (keep_rc | ~version.contains("rc")) & (keep_release | version.contains("b"))
 
 
 MajorSpec = None | int | Iterable[int] | Callable[[Column], Column]

@@ -3,7 +3,7 @@
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -62,7 +62,7 @@ def read_registry_dump(spark: SparkSession, path: str, channel: str) -> DataFram
 def registry_triplets(
     registry: DataFrame,
     wanted_major: V.MajorSpec = None,
-    keep_rc: bool = False,
+    keep_rc: bool | Column = False,
     keep_release: bool = False,
 ) -> DataFrame:
     """(channel, version, build_id, pub_ms): the smallest kept version string and earliest time.
@@ -125,16 +125,16 @@ def last_runs(triplets: DataFrame, keep_all_runs: bool = False) -> DataFrame:
 def channel_builds(
     records: DataFrame,
     min_build: str,
-    channel: str,
+    channels: Sequence[str] = ("release", "beta", "aurora"),
     product: str | None = None,
     wanted_major: V.MajorSpec = None,
-    keep_rc: bool = False,
+    keep_rc_on: Sequence[str] = ("aurora",),
     keep_release: bool = True,
     keep_all_runs: bool = False,
 ) -> DataFrame:
-    """Builds of one channel as (version, build_id, date, chan)."""
-    registry = build_registry(records, min_build, [channel], product)
-    triplets = registry_triplets(registry, wanted_major, keep_rc, keep_release)
+    """Builds as (version, build_id, date, chan), all channels from one read of the registry."""
+    registry = build_registry(records, min_build, channels, product)
+    triplets = registry_triplets(registry, wanted_major, F.col("channel").isin(*keep_rc_on), keep_release)
     return last_runs(triplets, keep_all_runs).select(
         "version",
         "build_id",
@@ -143,24 +143,13 @@ def channel_builds(
     )
 
 
-def beta_builds(records: DataFrame, min_build: str, product: str | None = None) -> DataFrame:
-    return channel_builds(records, min_build, "beta", product)
-
-
-def aurora_builds(records: DataFrame, min_build: str, product: str | None = None) -> DataFrame:
-    return channel_builds(records, min_build, "aurora", product, keep_rc=True)
-
-
-def release_builds(
-    records: DataFrame, min_build: str, product: str | None = None, wanted_major: V.MajorSpec = None
-) -> DataFrame:
-    """Release builds, with the major number where the version is a plain major release."""
-    return channel_builds(records, min_build, "release", product, wanted_major).withColumns(
-        {
-            "major": V.release_major(F.col("version")),
-            "is_major": V.release_major(F.col("version")).isNotNull(),
-        }
-    )
+def of_channel(builds: DataFrame, channel: str) -> DataFrame:
+    """One channel's builds. Release builds get the major number of plain major releases."""
+    chosen = builds.where(F.col("chan") == channel)
+    if channel != "release":
+        return chosen
+    number = V.release_major(F.col("version"))
+    return chosen.withColumns({"major": number, "is_major": number.isNotNull()})
 
 
 def recent_builds(
@@ -173,7 +162,7 @@ def recent_builds(
 ) -> DataFrame:
     """Builds of any channel in the months before ``as_of``."""
     min_build = days_before(as_of, window_days).strftime("%Y%m%d")
-    return channel_builds(records, min_build, channel, product, wanted_major)
+    return channel_builds(records, min_build, [channel], product, wanted_major)
 
 
 def label_rc_builds(builds: DataFrame) -> DataFrame:
