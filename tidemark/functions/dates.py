@@ -35,4 +35,4 @@ def sql_date(day: Column) -> Column:
 def epoch_ms(ms: Column, whole_seconds: bool = False) -> Column:
     """Milliseconds since 1970 as a UTC wall-clock timestamp, whatever the session zone."""
     ms = F.floor(ms / 1000) * 1000 if whole_seconds else ms
-    return F.timestamp_add("MILLISECOND", ms, F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    return F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01").cast("timestamp_ntz"))

@@ -134,12 +134,18 @@ def unoffset_days(day: str, first: str, earliest: str) -> Column:
 
 
 def with_channel_flags(curves: DataFrame, version: WindowSpec | None = None) -> DataFrame:
-    """Flags that only one channel has: major release, release candidate, nightly's version."""
+    """Flags that only one channel has: major release, release candidate, nightly's version.
+
+    A channel outside the tracked ones fails the job.
+    """
     channel, vers = F.col("channel"), F.col("vers")
     top = F.min("top").over(version or _all_days())
+    unknown = F.raise_error(F.concat(F.lit("no curve is defined for channel "), channel))
     return curves.withColumns(
         {
-            "is_major": F.when(channel == "release", V.is_major(vers)),
+            "is_major": F.when(~channel.isin(*config.CURVE_CHANNELS), unknown).when(
+                channel == "release", V.is_major(vers)
+            ),
             "RC": F.when(channel == "beta", V.is_rc(vers)),
             "dvers": F.when(channel == "nightly", top["dvers"]),
         }
