@@ -345,8 +345,8 @@ def _(spark, sf_dir):
 
 @check("win_latest_flag", "SELECT channel, os, vers, submission_date, latest_vers FROM curves")
 def _(spark, sf_dir):
-    collapsed = K.collapse_builds(K.unify_channels(fx.counts(spark, sf_dir)))
-    return K.with_latest_flag(collapsed).select(*CURVE_KEYS, "latest_vers")
+    unified = K.unify_channels(fx.counts(spark, sf_dir))
+    return K.with_latest_flag(K.collapse_builds(unified), unified).select(*CURVE_KEYS, "latest_vers")
 
 
 @check("win_rank_recent", "SELECT os, vers, channel, nth_recent_release FROM ranks")

@@ -40,7 +40,8 @@ def _(spark, sf_dir):
 
 
 def shares(spark, sf_dir):
-    return K.with_denominator(K.collapse_builds(K.unify_channels(fx.counts(spark, sf_dir))))
+    unified = K.unify_channels(fx.counts(spark, sf_dir))
+    return K.with_denominator(K.collapse_builds(unified), unified)
 
 
 @check("join_first_day", "SELECT channel, os, vers, submission_date, vers_min_date_above_npct FROM curves")

@@ -136,8 +136,7 @@ SELECT channel, os, vers, submission_date, {major} AS is_major, {rc} AS RC, dver
 
 
 def flagged(spark, sf_dir):
-    collapsed = K.collapse_builds(K.unify_channels(fx.counts(spark, sf_dir)))
-    return K.with_channel_flags(K.with_denominator(collapsed))
+    return K.with_channel_flags(K.collapse_builds(K.unify_channels(fx.counts(spark, sf_dir))))
 
 
 @check("prj_channel_flags", FLAGGED_SQL.format(

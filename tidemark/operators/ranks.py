@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.totals import join_back
+
 
 def position_by(
     df: DataFrame,
@@ -36,12 +38,8 @@ def position_by(
         .drop("_rows")
     )
     number = F.rank() if ties else F.row_number()
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_bucket"]]
-    joined = marked.withColumn("_number", number.over(in_bucket)).alias("l").join(before.alias("r"), same)
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        (F.col("l._number") + F.col("r._before")).cast("int").alias(name),
-    )
+    ranked = join_back(marked.withColumn("_number", number.over(in_bucket)), before, [*keys, "_bucket"])
+    return ranked.select(*df.columns, (F.col("_number") + F.col("_before")).cast("int").alias(name))
 
 
 def running_share(df: DataFrame, keys: Sequence[str], step: str, value: str, name: str) -> DataFrame:

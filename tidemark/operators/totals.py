@@ -13,10 +13,21 @@ from pyspark.sql import functions as F
 DAY_KEYS = ("submission_date", "chan", "os")
 
 
+def join_back(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Puts a summary of ``df``, one row per key, on its rows. NULL keys match like any other.
+
+    The null-safe join also keeps both inputs alike: a plain one would add a not-NULL filter to one
+    side, and then Spark could not reuse the shuffle they share and would read the source twice.
+    """
+    summary = summary.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return df.join(summary, same).drop(*[f"_{k}" for k in keys])
+
+
 def with_group(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
-    """Adds aggregates over ``keys`` to every row."""
-    totals = df.groupBy(*keys).agg(*[value.alias(name) for name, value in aggregates.items()])
-    return df.join(totals, list(keys), "left")
+    """Adds aggregates over ``keys`` to every row; NULL keys form a group like any other."""
+    summary = df.groupBy(*keys).agg(*[value.alias(name) for name, value in aggregates.items()])
+    return join_back(df, summary, keys)
 
 
 def with_total(df: DataFrame, keys: Sequence[str] = DAY_KEYS, value: str = "n", name: str = "total") -> DataFrame:

@@ -11,14 +11,15 @@ from tidemark import config, schemas
 from tidemark.functions import versions as V
 from tidemark.functions.builds import build_day, is_old_build
 from tidemark.functions.dates import as_date, days_before, days_since
+from tidemark.operators.aggregates import sum_by
 from tidemark.operators.filters import channel_window
 from tidemark.operators.joins import join_release_date
 from tidemark.operators.ranks import position_by
-from tidemark.operators.totals import with_group, with_total
 from tidemark.sources.tables import between_days, read_counts
 
 Day = dt.date | str
 CURVE_KEYS = ("channel", "os", "vers")
+DAY_KEYS = ("submission_date", "channel", "os")
 
 
 def version_key(chan: Column, vers: Column, dvers: Column, bid: Column) -> Column:
@@ -57,26 +58,30 @@ def unify_with_release_dates(counts: DataFrame, dates: DataFrame) -> DataFrame:
 def collapse_builds(unified: DataFrame) -> DataFrame:
     """One row per version and day: its build ids as one sorted text, and its clients.
 
-    ``max_bid`` and ``top`` (largest single count with its display version) feed later columns, so
-    they are carried along instead of aggregating the counts again.
+    ``top`` (the largest single count with its display version) is carried along so that nightly's
+    display version needs no second aggregation.
     """
     top = F.min(F.when(F.col("dvers").isNotNull(), F.struct((-F.col("n")).alias("neg_n"), "dvers")))
-    return unified.groupBy(*CURVE_KEYS, "submission_date").agg(
-        F.array_join(F.array_sort(F.collect_list("bid")), "\n").alias("build_ids"),
-        F.min("bid").alias("min_build_id"),
-        F.max("bid").alias("max_bid"),
-        F.sum("n").alias("n"),
-        top.alias("top"),
+    return (
+        unified.where(F.col("vers").isNotNull())
+        .groupBy(*CURVE_KEYS, "submission_date")
+        .agg(
+            F.array_join(F.array_sort(F.collect_list("bid")), "\n").alias("build_ids"),
+            F.min("bid").alias("min_build_id"),
+            F.sum("n").alias("n"),
+            top.alias("top"),
+        )
     )
 
 
-def with_denominator(collapsed: DataFrame) -> DataFrame:
+def with_denominator(collapsed: DataFrame, unified: DataFrame) -> DataFrame:
     """Adds the day's total (as largest and smallest, which must agree) and the share of it.
 
-    Rows without a version count towards the total but get no curve of their own.
+    The total comes straight from the counts: a narrow read that shrinks before it shuffles. Rows
+    without a version count towards it but have no curve of their own.
     """
-    totalled = with_total(collapsed, ("submission_date", "channel", "os"), name="day_chan_os_sum")
-    return totalled.where(F.col("vers").isNotNull()).withColumns(
+    totals = sum_by(unified, *DAY_KEYS).withColumnRenamed("n", "day_chan_os_sum")
+    return collapsed.join(totals, list(DAY_KEYS)).withColumns(
         {
             "day_chan_os_sum_min": F.col("day_chan_os_sum"),
             "n_pct": F.col("n") / F.col("day_chan_os_sum"),
@@ -84,14 +89,15 @@ def with_denominator(collapsed: DataFrame) -> DataFrame:
     )
 
 
-def _newest(vers: str = "vers") -> Column:
-    """The version with the greatest build id as a (max_bid, vers) pair."""
-    return F.max(F.when(F.col("max_bid").isNotNull(), F.struct("max_bid", vers)))
+def _newest() -> Column:
+    """The version with the greatest build id, as a (bid, vers) pair."""
+    return F.max(F.when(F.col("bid").isNotNull(), F.struct("bid", "vers")))
 
 
-def with_latest_flag(collapsed: DataFrame) -> DataFrame:
+def with_latest_flag(collapsed: DataFrame, unified: DataFrame) -> DataFrame:
     """Marks the version that has the greatest build id of its channel and system."""
-    return _flag_latest(with_group(collapsed, ("channel", "os"), newest=_newest()))
+    newest = unified.groupBy("channel", "os").agg(_newest().alias("newest"))
+    return _flag_latest(collapsed.join(newest, ["channel", "os"]))
 
 
 def _flag_latest(df: DataFrame) -> DataFrame:
@@ -164,8 +170,9 @@ def adoption_curves(
     lookback_days: int = config.LOOKBACK_DAYS,
 ) -> DataFrame:
     """The curve table for one as-of date, all channels and systems in one pass."""
-    collapsed = collapse_builds(unify_channels(read_counts(counts, as_of, lookback_days)))
-    curves = _finish(with_denominator(with_latest_flag(collapsed)), min_share)
+    unified = unify_channels(read_counts(counts, as_of, lookback_days))
+    shares = with_denominator(with_latest_flag(collapse_builds(unified), unified), unified)
+    curves = _finish(shares, min_share)
     return channel_window(curves, as_of, months).select(*schemas.CURVES.fieldNames())
 
 
@@ -188,17 +195,17 @@ def daily_curves(
     """
     first, last = as_date(first), as_date(last)
     window = between_days(counts, days_before(first, lookback_days), last)
-    collapsed = collapse_builds(unify_channels(window))
+    unified = unify_channels(window)
     # Newest build per day first, then up to each day: one row per day, channel and system.
-    per_day = collapsed.groupBy("channel", "os", "submission_date").agg(_newest().alias("newest_of_day"))
+    per_day = unified.groupBy(*DAY_KEYS).agg(_newest().alias("newest_of_day"))
     newest = per_day.select(
         "channel",
         "os",
         "submission_date",
         F.max("newest_of_day").over(_days_up_to_each(("channel", "os"), lookback_days)).alias("newest"),
     )
-    flagged = _flag_latest(collapsed.join(newest, ["channel", "os", "submission_date"]))
-    curves = _finish(with_denominator(flagged), min_share, _days_up_to_each(CURVE_KEYS, lookback_days))
+    flagged = _flag_latest(collapse_builds(unified).join(newest, list(DAY_KEYS)))
+    curves = _finish(with_denominator(flagged, unified), min_share, _days_up_to_each(CURVE_KEYS, lookback_days))
     return between_days(curves, first, last).select(*schemas.CURVES.fieldNames())
 
 

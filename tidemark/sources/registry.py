@@ -11,6 +11,7 @@ from tidemark import config, schemas
 from tidemark.functions import versions as V
 from tidemark.functions.builds import build_day
 from tidemark.functions.dates import days_before, epoch_ms
+from tidemark.operators.totals import join_back
 
 
 def build_registry(
@@ -33,14 +34,12 @@ def build_registry(
     )
     if product:
         wanted = wanted & (F.col("product") == product)
-    return (
-        records.where(wanted)
-        .groupBy("channel", "build_id")
-        .agg(
-            F.array_sort(F.collect_set("version")).alias("versions"),
-            F.array_sort(F.collect_set("pub_ms")).alias("pub_dates"),
-        )
+    # One set of pairs, not two sets: consumers that need only part of it still share the shuffle.
+    seen = records.where(wanted).groupBy("channel", "build_id").agg(
+        F.collect_set(F.struct("version", "pub_ms")).alias("published")
     )
+    values = lambda field: F.array_sort(F.array_distinct(F.transform("published", lambda p: p[field])))
+    return seen.select("channel", "build_id", values("version").alias("versions"), values("pub_ms").alias("pub_dates"))
 
 
 def buckets_to_registry(dump: DataFrame, channel: str) -> DataFrame:
@@ -82,42 +81,36 @@ def registry_triplets(
 def last_runs(triplets: DataFrame, keep_all_runs: bool = False) -> DataFrame:
     """Walking each channel's builds from newest to oldest, the last run of each version.
 
-    A run is a stretch of neighbouring builds with the same version. Runs are numbered in two
-    steps so that no task sorts a whole channel: inside each build day, and then over one summary
-    row per day, of which there are only as many as the calendar has.
+    A run is a stretch of neighbouring builds with the same version, and its head is its newest
+    build. The last run of a version is everything up to the oldest of its heads.
+
+    Neighbours are found without sorting a whole channel in one task: inside each build day, and
+    for the newest build of a day through one row per day, of which there are only as many as the
+    calendar has.
     """
     if keep_all_runs:
         return triplets
+    day = F.substring("build_id", 1, 8).alias("day")
     in_day = W.partitionBy("channel", "day").orderBy(F.desc("build_id"))
     days = W.partitionBy("channel").orderBy(F.desc("day"))
 
-    marked = (
-        triplets.withColumn("day", F.substring("build_id", 1, 8))
-        .withColumn("newer", F.lag("version").over(in_day))
-        .withColumn("breaks", (F.col("newer").isNotNull() & (F.col("newer") != F.col("version"))).cast("long"))
-        .withColumn("run_in_day", F.sum("breaks").over(in_day))
+    builds = triplets.select("*", day)
+    newer_days = (
+        builds.groupBy("channel", "day")
+        .agg(F.min_by("version", "build_id").alias("oldest"))
+        .select("channel", "day", F.lag("oldest").over(days).alias("newer_day"))
     )
-    offsets = (
-        marked.groupBy("channel", "day")
-        .agg(
-            F.max_by("version", "build_id").alias("newest"),
-            F.min_by("version", "build_id").alias("oldest"),
-            F.sum("breaks").alias("breaks"),
-        )
-        .withColumn("previous", F.lag("oldest").over(days))
-        .withColumn("edge", (F.col("previous").isNotNull() & (F.col("previous") != F.col("newest"))).cast("long"))
-        .select(
-            "channel",
-            "day",
-            # breaks of newer days, plus every day edge passed up to and including this one
-            (F.sum(F.col("breaks") + F.col("edge")).over(days) - F.col("breaks")).alias("offset"),
-        )
+    newer = F.coalesce(F.lag("version").over(in_day), F.col("newer_day"))
+    heads = (
+        join_back(builds, newer_days, ["channel", "day"])
+        .withColumn("newer", newer)
+        .where(F.col("newer").isNull() | (F.col("newer") != F.col("version")))
+        .groupBy("channel", "version")
+        .agg(F.min("build_id").alias("last_head"))
     )
-    runs = marked.join(offsets, ["channel", "day"]).withColumn("run", F.col("run_in_day") + F.col("offset"))
-    last = runs.groupBy("channel", "version").agg(F.max("run").alias("last_run"))
     return (
-        runs.join(last, ["channel", "version"])
-        .where(F.col("run") == F.col("last_run"))
+        join_back(triplets, heads, ["channel", "version"])
+        .where(F.col("build_id") <= F.col("last_head"))
         .select("channel", "version", "build_id", "pub_ms")
     )
 
