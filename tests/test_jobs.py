@@ -98,7 +98,7 @@ def test_chart_feed_folders(spark, tmp_path):
 def test_csv_interchange_keeps_nulls(spark, tmp_path, rows):
     data = [(dt.date(2024, 1, 1), "beta", "Linux", None, "70.0", "20240101", 5)]
     path = str(tmp_path / "csv")
-    sinks.export_csv(spark.createDataFrame(data, schemas.VERSION_COUNTS), path)
+    sinks.export_csv(spark.createDataFrame(data, schemas.VERSION_COUNTS).coalesce(1), path)
     text = next((tmp_path / "csv").glob("part-*")).read_text().splitlines()
     assert text == ["submission_date,chan,os,dvers,vers,bid,n", "2024-01-01,beta,Linux,NA,70.0,20240101,5"]
     assert rows(sinks.import_csv(spark, path)) == data
