@@ -11,7 +11,7 @@ from tidemark.functions.builds import nearest_build_day
 from tidemark.operators import aggregates as A
 from tidemark.operators import joins as J
 from tidemark.operators import ranks as R
-from tidemark.operators.totals import with_group, with_share, with_total
+from tidemark.operators.totals import with_group, with_share
 from tidemark.plans import counts as C
 from tidemark.plans import curves as K
 from tidemark.plans import serve

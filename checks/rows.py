@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registered import check
-from checks.sql import OSES, PUB_DAY, floored, lag_days, min_build, sample, unified
+from checks.sql import OSES, floored, lag_days, min_build, unified
 from tidemark.functions import versions as V
 from tidemark.functions.builds import build_lag_days, clamp_nightly_day, is_old_build, min_build_id
 from tidemark.operators import filters

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registered import check
-from checks.sql import OSES, PUB_TEXT, RELEASE_MAJOR, rounded
+from checks.sql import OSES, PUB_TEXT, RELEASE_MAJOR
 from tidemark import schemas
 from tidemark.functions import dates as D
 from tidemark.functions.builds import build_day, nearest_build_day

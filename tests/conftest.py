@@ -4,9 +4,13 @@ from tidemark.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false"
+        "tests",
+        "local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__ui__enabled="false",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

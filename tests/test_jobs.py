@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+import run_job
 from checks import fixtures as fx
 from tidemark import schemas
 from tidemark.operators.quality import QualityError
@@ -76,6 +77,23 @@ def test_curves_append_only_new_dates(spark, target):
         jobs.run_curves(counts, target, "2024-01-30", returns="some")
 
 
+def test_catalog_tables_as_targets(spark, clients):
+    jobs.run_counts(clients, "daily_counts", "2024-01-11", "2024-01-01", target_exists=False)
+    jobs.run_counts(clients, "daily_counts", "2024-01-31")
+    assert jobs.run_counts(clients, "daily_counts", "2024-01-31") is None
+    counts = tables.read_table(spark, "daily_counts")
+    assert counts.agg(F.sum("n")).first()[0] == 3971
+    jobs.run_curves(counts, "daily_curves", "2024-01-20", target_exists=False)
+    for _ in range(2):
+        jobs.run_curves(counts, "daily_curves", "2024-01-30")
+    curves = tables.read_table(spark, "daily_curves")
+    want = jobs.adoption_curves(fx.counts(spark, SF), "2024-01-30")
+    assert curves.count() == want.count()
+    assert curves.where("submission_date > DATE '2024-01-20'").select(*want.columns).exceptAll(want).isEmpty()
+    jobs.run_counts(clients, "daily_counts", "2024-01-05", "2024-01-01", last="2024-01-03", check_dates=False, drop_first=True)
+    assert tables.read_table(spark, "daily_counts").select("submission_date").distinct().count() == 3
+
+
 def test_backfill_table_equals_daily_runs(spark, tmp_path):
     counts = fx.counts(spark, SF)
     daily, once = str(tmp_path / "daily"), str(tmp_path / "once")
@@ -124,3 +142,15 @@ def test_version_dimension(spark, rows):
     got = jobs.version_dimension(versions, versions)
     assert rows(got, "version", "is_major", "is_rc", "sortable", "major", "rc_major") == [
         ("70.0", True, True, "70.0", 70, 70), ("70.0b3", True, False, "70.0b03", 70, None)]
+
+
+def test_command_line_runs_the_three_steps(spark, clients, tmp_path, capsys):
+    facts, counts, curves, feed = (str(tmp_path / name) for name in ("facts", "counts", "curves", "feed"))
+    clients.write.parquet(facts)
+    run_job.main(["--as-of", "2024-01-11", "counts", facts, counts, "--first", "2024-01-01", "--new", "--app-name", fx.APP])
+    run_job.main(["--as-of", "2024-01-31", "counts", facts, counts])
+    assert capsys.readouterr().out.splitlines() == ["loaded 2024-01-01 to 2024-01-10", "loaded 2024-01-11 to 2024-01-30"]
+    run_job.main(["--as-of", "2024-01-30", "curves", counts, curves, "--new"])
+    run_job.main(["--as-of", "2024-01-31", "serve", curves, feed, "--versions", "12", "18", "18", "30"])
+    shown = spark.read.json(feed)
+    assert shown.count() > 0 and shown.where("channel = 'release' AND show_n > 12").isEmpty()

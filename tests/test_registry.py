@@ -6,7 +6,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.sources import registry as R

@@ -1,7 +1,6 @@
 """Data checks. Each returns the violating rows, so an empty result means clean data."""
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T

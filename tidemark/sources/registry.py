@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark import config, schemas
 from tidemark.functions import versions as V
-from tidemark.functions.builds import build_day
 from tidemark.functions.dates import days_before, epoch_ms
 from tidemark.operators.totals import join_back
 
@@ -178,7 +177,3 @@ def version_build_list(builds: DataFrame) -> DataFrame:
     )
     return builds.groupBy("version").agg(F.array_join(quoted, ", ").alias("build_ids"))
 
-
-def build_dates(builds: DataFrame) -> DataFrame:
-    """Adds the day a build id names to registry builds."""
-    return builds.withColumn("build_day", build_day(F.col("build_id")))

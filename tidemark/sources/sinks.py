@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
@@ -11,26 +11,42 @@ from tidemark.functions.dates import as_date
 from tidemark.operators.aggregates import distinct_dates
 from tidemark.operators.joins import not_loaded
 from tidemark.operators.quality import conform
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import is_path, read_table
 
 Day = dt.date | str
 CSV_NULL = "NA"
 
 
-def _by_date(df: DataFrame):
+def _by_date(df: DataFrame) -> DataFrameWriter:
     """A writer with one file per date where dates are small; adaptive execution splits big ones."""
     return df.hint("rebalance", "submission_date").write.partitionBy("submission_date")
 
 
+def _append_to_table(df: DataFrame, target: str) -> None:
+    """Adds rows to a catalog table, creating it on first use. Inserts go by the table's column order."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(target):
+        df.hint("rebalance", "submission_date").select(*spark.table(target).columns).write.insertInto(target)
+    else:
+        _by_date(df).saveAsTable(target)
+
+
 def append_counts(counts: DataFrame, target: str) -> None:
     """Adds rows; nothing already in the table is replaced."""
-    _by_date(conform(counts, schemas.VERSION_COUNTS)).mode("append").parquet(target)
+    rows = conform(counts, schemas.VERSION_COUNTS)
+    if is_path(target):
+        _by_date(rows).mode("append").parquet(target)
+    else:
+        _append_to_table(rows, target)
 
 
 def replace_counts(counts: DataFrame, target: str) -> None:
     """Full replace: drops what the table holds before loading."""
-    writer = _by_date(conform(counts, schemas.VERSION_COUNTS)).option("partitionOverwriteMode", "static")
-    writer.mode("overwrite").parquet(target)
+    writer = _by_date(conform(counts, schemas.VERSION_COUNTS)).option("partitionOverwriteMode", "static").mode("overwrite")
+    if is_path(target):
+        writer.parquet(target)
+    else:
+        writer.saveAsTable(target)
 
 
 def export_csv(counts: DataFrame, target: str) -> None:
@@ -57,8 +73,8 @@ def append_new_dates(
 ) -> DataFrame | None:
     """Appends the rows whose date the table does not hold yet.
 
-    Only partitions of new dates are written, each as a whole, so a repeated or restarted run
-    leaves the same table. ``returns``: ``"all"`` rows, the ``"upload"`` ones, or None.
+    In a folder, only partitions of new dates are written, each as a whole, so a repeated or
+    restarted run leaves the same table. ``returns``: ``"all"`` rows, the ``"upload"`` ones, or None.
     """
     if returns not in ("all", "upload", None):
         raise ValueError(f"returns must be 'all', 'upload' or None, not {returns!r}")
@@ -66,7 +82,10 @@ def append_new_dates(
     fresh = rows.where(F.col("submission_date") >= as_date(first))
     if target_exists:
         fresh = not_loaded(fresh, loaded_dates(curves.sparkSession, target, first))
-    _by_date(fresh).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+    if is_path(target):
+        _by_date(fresh).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+    else:
+        _append_to_table(fresh, target)
     return {"all": rows, "upload": fresh, None: None}[returns]
 
 

@@ -12,9 +12,13 @@ from tidemark.functions.dates import as_date, days_before
 Day = dt.date | str
 
 
+def is_path(name: str) -> bool:
+    """Tables are named; anything with a slash is a folder of Parquet files."""
+    return "/" in name
+
+
 def read_table(spark: SparkSession, source: str) -> DataFrame:
-    """A catalog table by name, or Parquet files when ``source`` is a path."""
-    return spark.read.parquet(source) if "/" in source else spark.table(source)
+    return spark.read.parquet(source) if is_path(source) else spark.table(source)
 
 
 def between_days(df: DataFrame, first: Day, last: Day | None = None) -> DataFrame:
