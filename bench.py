@@ -13,7 +13,7 @@ from tidemark.sources import registry, tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = 3
+WARMUPS, RUNS = 2, 3
 
 
 def consume(df) -> None:
@@ -45,7 +45,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name, run in QUERIES.items():
-        run(spark)
+        for _ in range(WARMUPS):
+            run(spark)
         times = []
         for _ in range(RUNS):
             start = time.perf_counter()

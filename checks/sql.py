@@ -144,10 +144,12 @@ define("records", """
   FROM clients
 """)
 define("registry", """
-  SELECT channel, build_id, list_sort(list(DISTINCT version)) AS versions,
-    list_sort(list(DISTINCT pub_ms)) AS pub_dates
-  FROM records WHERE platform = 'win64' AND locale = 'en-US' AND product = 'desktop' AND build_id >= '2015'
-  GROUP BY channel, build_id
+  SELECT channel, build_id, list_sort(list(version)) AS versions, list_sort(list(DISTINCT first_ms)) AS pub_dates
+  FROM (
+    SELECT channel, build_id, version, min(pub_ms) AS first_ms FROM records
+    WHERE platform = 'win64' AND locale = 'en-US' AND product = 'desktop' AND build_id >= '2015'
+    GROUP BY channel, build_id, version
+  ) GROUP BY channel, build_id
 """)
 
 

@@ -17,6 +17,11 @@ def days_before(day: dt.date | str, days: int) -> dt.date:
     return as_date(day) - dt.timedelta(days=days)
 
 
+def days_between(first: dt.date | str, last: dt.date | str) -> int:
+    """Number of dates from ``first`` to ``last``, both counted."""
+    return (as_date(last) - as_date(first)).days + 1
+
+
 def days_since(day: Column, start: Column) -> Column:
     """Whole days from ``start`` to ``day``; NULL when either is."""
     return F.date_diff(day, start)

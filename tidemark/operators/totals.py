@@ -11,9 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY_KEYS = ("submission_date", "chan", "os")
+BROADCAST_ROWS = 500_000
 
 
-def join_back(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+def bounded(summary: DataFrame, max_rows: int | None) -> DataFrame:
+    """Asks for a broadcast when the caller can prove a row bound that is small enough.
+
+    Without a bound, or beyond it, the choice is left to Spark and its measured sizes.
+    """
+    return F.broadcast(summary) if max_rows is not None and max_rows <= BROADCAST_ROWS else summary
+
+
+def join_back(df: DataFrame, summary: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> DataFrame:
     """Puts a summary of ``df``, one row per key, on its rows. NULL keys match like any other.
 
     The null-safe join also keeps both inputs alike: a plain one would add a not-NULL filter to one
@@ -21,24 +30,37 @@ def join_back(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFra
     """
     summary = summary.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return df.join(summary, same).drop(*[f"_{k}" for k in keys])
+    return df.join(bounded(summary, max_rows), same).drop(*[f"_{k}" for k in keys])
 
 
-def with_group(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
+def with_group(
+    df: DataFrame, keys: Sequence[str], max_groups: int | None = None, **aggregates: Column
+) -> DataFrame:
     """Adds aggregates over ``keys`` to every row; NULL keys form a group like any other."""
     summary = df.groupBy(*keys).agg(*[value.alias(name) for name, value in aggregates.items()])
-    return join_back(df, summary, keys)
+    return join_back(df, summary, keys, max_groups)
 
 
-def with_total(df: DataFrame, keys: Sequence[str] = DAY_KEYS, value: str = "n", name: str = "total") -> DataFrame:
-    return with_group(df, keys, **{name: F.sum(value)})
+def with_total(
+    df: DataFrame,
+    keys: Sequence[str] = DAY_KEYS,
+    value: str = "n",
+    name: str = "total",
+    max_groups: int | None = None,
+) -> DataFrame:
+    return with_group(df, keys, max_groups, **{name: F.sum(value)})
 
 
 def with_share(
-    df: DataFrame, keys: Sequence[str] = DAY_KEYS, value: str = "n", total: str = "total", share: str = "share"
+    df: DataFrame,
+    keys: Sequence[str] = DAY_KEYS,
+    value: str = "n",
+    total: str = "total",
+    share: str = "share",
+    max_groups: int | None = None,
 ) -> DataFrame:
     """Adds the group total and each row's share of it."""
-    return with_total(df, keys, value, total).withColumn(share, F.try_divide(F.col(value), F.col(total)))
+    return with_total(df, keys, value, total, max_groups).withColumn(share, F.try_divide(F.col(value), F.col(total)))
 
 
 def with_grand_share(df: DataFrame, value: str, name: str) -> DataFrame:

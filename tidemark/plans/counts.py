@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions.builds import floor_build, min_build_id
+from tidemark.functions.dates import days_between
 from tidemark.operators.filters import stratified_sample
 from tidemark.operators.totals import DAY_KEYS, with_share
 from tidemark.sources.tables import scan_clients
@@ -48,9 +49,17 @@ def count_versions_const(clients: DataFrame, floor: str) -> DataFrame:
     return raw.groupBy(*keys, "bid").agg(F.count("*").alias("n"))
 
 
-def fold_rare(counts: DataFrame, threshold: float = config.FOLD_SHARE, label: str = config.FOLD_LABEL) -> DataFrame:
-    """Renames rows at or under the share of their day, one row at a time; sums are not redone."""
-    shared = with_share(counts, DAY_KEYS, total="os_chan_n")
+def fold_rare(
+    counts: DataFrame,
+    threshold: float = config.FOLD_SHARE,
+    label: str = config.FOLD_LABEL,
+    max_groups: int | None = None,
+) -> DataFrame:
+    """Renames rows at or under the share of their day, one row at a time; sums are not redone.
+
+    ``max_groups`` bounds how many (day, channel, system) groups there can be.
+    """
+    shared = with_share(counts, DAY_KEYS, total="os_chan_n", max_groups=max_groups)
     keep = F.col("share") > threshold
     folded_bid = min_build_id(F.col("chan"), F.col("os"), F.col("submission_date"), config.FOLD_OFFSET_DAYS)
     return shared.select(
@@ -79,7 +88,9 @@ def version_counts(
     """The counts table for a range of days.
 
     The fact is scanned once. Its count is partially aggregated before the only large shuffle;
-    the day totals reuse that shuffle's output.
+    the day totals reuse that shuffle's output. There is one total per day, sampled channel and
+    tracked system, so their number is known beforehand.
     """
     sampled = stratified_sample(scan_clients(clients, first, last, app_name), bounds)
-    return reduce_counts(fold_rare(count_versions(sampled), threshold))
+    groups = days_between(first, last or first) * len(bounds) * len(config.OSES)
+    return reduce_counts(fold_rare(count_versions(sampled), threshold, max_groups=groups))

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from tidemark import config, schemas
 from tidemark.functions import versions as V
 from tidemark.functions.builds import build_day, is_old_build
-from tidemark.functions.dates import as_date, days_before, days_since
+from tidemark.functions.dates import as_date, days_before, days_between, days_since
 from tidemark.operators.aggregates import sum_by
 from tidemark.operators.filters import channel_window
 from tidemark.operators.joins import join_release_date
 from tidemark.operators.ranks import position_by
+from tidemark.operators.totals import bounded
 from tidemark.sources.tables import between_days, read_counts
 
 Day = dt.date | str
 CURVE_KEYS = ("channel", "os", "vers")
 DAY_KEYS = ("submission_date", "channel", "os")
+SERIES = len(config.CURVE_CHANNELS) * len(config.OSES)   # channels times systems, at most
 
 
 def version_key(chan: Column, vers: Column, dvers: Column, bid: Column) -> Column:
@@ -74,14 +76,15 @@ def collapse_builds(unified: DataFrame) -> DataFrame:
     )
 
 
-def with_denominator(collapsed: DataFrame, unified: DataFrame) -> DataFrame:
+def with_denominator(collapsed: DataFrame, unified: DataFrame, days: int | None = None) -> DataFrame:
     """Adds the day's total (as largest and smallest, which must agree) and the share of it.
 
     The total comes straight from the counts: a narrow read that shrinks before it shuffles. Rows
-    without a version count towards it but have no curve of their own.
+    without a version count towards it but have no curve of their own. ``days`` bounds how many
+    dates the counts have, and with them the number of totals.
     """
     totals = sum_by(unified, *DAY_KEYS).withColumnRenamed("n", "day_chan_os_sum")
-    return collapsed.join(totals, list(DAY_KEYS)).withColumns(
+    return collapsed.join(bounded(totals, days and days * SERIES), list(DAY_KEYS)).withColumns(
         {
             "day_chan_os_sum_min": F.col("day_chan_os_sum"),
             "n_pct": F.col("n") / F.col("day_chan_os_sum"),
@@ -97,7 +100,7 @@ def _newest() -> Column:
 def with_latest_flag(collapsed: DataFrame, unified: DataFrame) -> DataFrame:
     """Marks the version that has the greatest build id of its channel and system."""
     newest = unified.groupBy("channel", "os").agg(_newest().alias("newest"))
-    return _flag_latest(collapsed.join(newest, ["channel", "os"]))
+    return _flag_latest(collapsed.join(bounded(newest, SERIES), ["channel", "os"]))
 
 
 def _flag_latest(df: DataFrame) -> DataFrame:
@@ -171,7 +174,8 @@ def adoption_curves(
 ) -> DataFrame:
     """The curve table for one as-of date, all channels and systems in one pass."""
     unified = unify_channels(read_counts(counts, as_of, lookback_days))
-    shares = with_denominator(with_latest_flag(collapse_builds(unified), unified), unified)
+    flagged = with_latest_flag(collapse_builds(unified), unified)
+    shares = with_denominator(flagged, unified, lookback_days + 1)
     curves = _finish(shares, min_share)
     return channel_window(curves, as_of, months).select(*schemas.CURVES.fieldNames())
 
@@ -204,8 +208,9 @@ def daily_curves(
         "submission_date",
         F.max("newest_of_day").over(_days_up_to_each(("channel", "os"), lookback_days)).alias("newest"),
     )
-    flagged = _flag_latest(collapse_builds(unified).join(newest, list(DAY_KEYS)))
-    curves = _finish(with_denominator(flagged, unified), min_share, _days_up_to_each(CURVE_KEYS, lookback_days))
+    days = days_between(first, last) + lookback_days
+    flagged = _flag_latest(collapse_builds(unified).join(bounded(newest, days * SERIES), list(DAY_KEYS)))
+    curves = _finish(with_denominator(flagged, unified, days), min_share, _days_up_to_each(CURVE_KEYS, lookback_days))
     return between_days(curves, first, last).select(*schemas.CURVES.fieldNames())
 
 

@@ -21,10 +21,7 @@ def build_registry(
     platform: str = config.REGISTRY_PLATFORM,
     locale: str = config.REGISTRY_LOCALE,
 ) -> DataFrame:
-    """One row per (channel, build id) with its distinct versions and publication times.
-
-    The sets are deduplicated before the shuffle, so a build with very many records stays small.
-    """
+    """One row per (channel, build id) with its versions and the times they were first published."""
     wanted = (
         (F.col("platform") == platform)
         & (F.col("locale") == locale)
@@ -33,12 +30,15 @@ def build_registry(
     )
     if product:
         wanted = wanted & (F.col("product") == product)
-    # One set of pairs, not two sets: consumers that need only part of it still share the shuffle.
-    seen = records.where(wanted).groupBy("channel", "build_id").agg(
-        F.collect_set(F.struct("version", "pub_ms")).alias("published")
+    # Earliest time per version first, so that a build with very many records is small before its
+    # versions meet. One list of pairs, not two lists: consumers that need only part of it still
+    # share the shuffle.
+    first_seen = records.where(wanted).groupBy("channel", "build_id", "version").agg(F.min("pub_ms").alias("pub_ms"))
+    builds = first_seen.groupBy("channel", "build_id").agg(
+        F.collect_list(F.struct("version", "pub_ms")).alias("published")
     )
     values = lambda field: F.array_sort(F.array_distinct(F.transform("published", lambda p: p[field])))
-    return seen.select("channel", "build_id", values("version").alias("versions"), values("pub_ms").alias("pub_dates"))
+    return builds.select("channel", "build_id", values("version").alias("versions"), values("pub_ms").alias("pub_dates"))
 
 
 def buckets_to_registry(dump: DataFrame, channel: str) -> DataFrame:
