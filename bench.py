@@ -41,7 +41,8 @@ QUERIES = {
 
 
 def main() -> None:
-    spark = build_session("bench", f"local[{CPUS}]", spark__sql__shuffle__partitions=CPUS, spark__ui__enabled="false")
+    spark = build_session("bench", f"local[{CPUS}]", spark__sql__shuffle__partitions=CPUS, spark__ui__enabled="false",
+                          spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name, run in QUERIES.items():

@@ -49,6 +49,8 @@ WITH items AS (
       WHEN 'esr' THEN 6 * (vnum - 71) - 40
       ELSE 6 * (vnum - 71) + cyc - 1 END AS build_offset
   FROM cycles
+), dated AS (
+  SELECT *, date_add(DATE '2024-01-01', CAST(build_offset AS INT)) AS build_date FROM versions
 )
 SELECT
   date_add(DATE '2024-01-01', d) AS submission_date,
@@ -61,10 +63,10 @@ SELECT
   CASE WHEN chan IN ('beta', 'aurora') AND cyc < 5
     THEN concat(CAST(vnum AS STRING), '.0b', CAST(cyc + 1 AS STRING)) ELSE app_version END AS app_display_version,
   CASE WHEN l_partkey % 89 = 0 THEN '20150101000000'
-    ELSE concat(replace(CAST(date_add(DATE '2024-01-01', CAST(build_offset AS INT)) AS STRING), '-', ''), '100000')
+    ELSE concat(CAST(year(build_date) * 10000 + month(build_date) * 100 + day(build_date) AS STRING), '100000')
   END AS app_build_id,
   l_linenumber AS shard
-FROM versions
+FROM dated
 """
 
 

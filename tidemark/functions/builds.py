@@ -17,8 +17,10 @@ def build_lag_days(chan: Column, os: Column) -> Column:
 
 
 def compact_day(day: Column) -> Column:
-    """``yyyyMMdd`` of a date. Plain string work, cheaper per row than a formatter."""
-    return F.replace(day.cast("string"), F.lit("-"), F.lit(""))
+    """``yyyyMMdd`` of a date (years from 1000 on). Runs once per fact row; measured at about half
+    the time of ``date_format`` and of cutting the dashes out of the date's text.
+    """
+    return (F.year(day) * 10000 + F.month(day) * 100 + F.day(day)).cast("string")
 
 
 def min_build_id(chan: Column, os: Column, day: Column, offset_days: int = 0) -> Column:
