@@ -75,10 +75,10 @@ def _(spark, sf_dir):
 
 
 @check("join_build_registry", """
-SELECT submission_date, chan, os, dvers, vers, bid, n, bh_dvers, strftime(pub_day, '%Y-%m-%d') AS bh_day, same_dv FROM matched
+SELECT submission_date, chan, os, dvers, vers, bid, n, reg_dvers, strftime(pub_day, '%Y-%m-%d') AS reg_day, same_dv FROM matched
 """)
 def _(spark, sf_dir):
-    return matched(spark, sf_dir).withColumn("bh_day", F.col("bh_pub_date").cast("date").cast("string")).drop("bh_pub_date")
+    return matched(spark, sf_dir).withColumn("reg_day", F.col("reg_pub_date").cast("date").cast("string")).drop("reg_pub_date")
 
 
 @check("join_full_compare", """
@@ -187,7 +187,7 @@ SELECT submission_date, chan, os, dvers, vers, bid, n, 'lost' AS problem FROM ma
 def _(spark, sf_dir):
     """A join that drops unmatched counts, reported row by row."""
     counts = fx.counts(spark, sf_dir)
-    lossy = matched(spark, sf_dir).where(F.col("bh_pub_date").isNotNull())
+    lossy = matched(spark, sf_dir).where(F.col("reg_pub_date").isNotNull())
     return Q.changed_rows(counts, lossy)
 
 
@@ -197,7 +197,7 @@ FROM matched WHERE submission_date - pub_day < 1
 """)
 def _(spark, sf_dir):
     """Counts on or before the build's publication day (a stricter bound than the default)."""
-    rows = Q.early_submissions(matched(spark, sf_dir), "bh_pub_date", min_days=1)
+    rows = Q.early_submissions(matched(spark, sf_dir), "reg_pub_date", min_days=1)
     return rows.select("submission_date", "chan", "os", "bid", "n", "days_post_pub")
 
 

@@ -224,7 +224,7 @@ define("dated_builds", f"""
   SELECT channel AS chan, build_id, version, {PUB_DAY} AS pub_day FROM norc_builds WHERE channel IN ('release', 'beta')
 """)
 define("matched", """
-  SELECT c.*, b.version AS bh_dvers, b.pub_day, coalesce(c.dvers = b.version, false) AS same_dv
+  SELECT c.*, b.version AS reg_dvers, b.pub_day, coalesce(c.dvers = b.version, false) AS same_dv
   FROM counts c LEFT JOIN dated_builds b ON c.chan = b.chan AND c.bid = b.build_id
 """)
 

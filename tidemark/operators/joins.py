@@ -37,15 +37,15 @@ def join_registry(counts: DataFrame, builds: DataFrame) -> DataFrame:
     lookup = builds.select(
         "chan",
         F.col("build_id").alias("bid"),
-        F.col("version").alias("bh_dvers"),
-        F.col("date").alias("bh_pub_date"),
+        F.col("version").alias("reg_dvers"),
+        F.col("date").alias("reg_pub_date"),
     )
     joined = counts.join(lookup, ["chan", "bid"], "left")
     return joined.select(
         *counts.columns,
-        "bh_dvers",
-        "bh_pub_date",
-        F.coalesce(F.col("dvers") == F.col("bh_dvers"), F.lit(False)).alias("same_dv"),
+        "reg_dvers",
+        "reg_pub_date",
+        F.coalesce(F.col("dvers") == F.col("reg_dvers"), F.lit(False)).alias("same_dv"),
     )
 
 
