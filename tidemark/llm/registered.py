@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules
+from tidemark.llm import host_rules, simhash, slots
 from tidemark.llm.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,20 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_verdicts(judged, "source", "base_failed")
 
 
+def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slots.shard(table(spark, sf_dir, "documents"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version",
+    )
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(simhash.fingerprinted(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op6_simhash": op6_simhash,
     "op8_host_rules": op8_host_rules,
+    "op9_virtual_slots": op9_virtual_slots,
 }
