@@ -2,11 +2,12 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, simhash, slots
-from tidemark.llm.staging import stage
+from tidemark.llm import host_rules, packing, simhash, slots, token_orc
+from tidemark.llm.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +33,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "token-orc")
+    token_orc.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return token_orc.digests(token_orc.read_tokens(spark, path)).drop("shard")
+
+
+def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_token_orc": op1_token_orc,
     "op6_simhash": op6_simhash,
     "op8_host_rules": op8_host_rules,
     "op9_virtual_slots": op9_virtual_slots,
+    "op10_bin_slack": op10_bin_slack,
 }
