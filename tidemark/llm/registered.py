@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, packing, simhash, slots, token_orc
+from tidemark.llm import byte_cnn, host_rules, packing, passages, simhash, slots, token_orc
 from tidemark.llm.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digests(table(spark, sf_dir, "documents"))
+
+
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.classify(docs, byte_cnn.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = stage(host_rules.judge(table(spark, sf_dir, "documents")), "host-rules")
     return host_rules.host_verdicts(judged, "source", "base_failed")
@@ -45,6 +54,8 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_orc": op1_token_orc,
+    "op3_passages": op3_passages,
+    "op5_byte_cnn": op5_byte_cnn,
     "op6_simhash": op6_simhash,
     "op8_host_rules": op8_host_rules,
     "op9_virtual_slots": op9_virtual_slots,
