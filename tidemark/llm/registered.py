@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_cnn, host_rules, packing, passages, simhash, slots, token_orc
+from tidemark.llm import byte_cnn, host_rules, packing, passages, rp_forest, simhash, slots, token_orc
 from tidemark.llm.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_cnn.classify(docs, byte_cnn.train(docs, table(spark, sf_dir, "labels")))
@@ -55,6 +59,7 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_orc": op1_token_orc,
     "op3_passages": op3_passages,
+    "op4_rp_forest": op4_rp_forest,
     "op5_byte_cnn": op5_byte_cnn,
     "op6_simhash": op6_simhash,
     "op8_host_rules": op8_host_rules,
