@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_cnn, host_rules, packing, passages, rp_forest, simhash, slots, token_orc
+from tidemark.llm import byte_cnn, host_rules, main_text, packing, passages, rp_forest, simhash, slots, token_orc
 from tidemark.llm.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.classify(docs, byte_cnn.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = stage(host_rules.judge(table(spark, sf_dir, "documents")), "host-rules")
     return host_rules.host_verdicts(judged, "source", "base_failed")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op4_rp_forest": op4_rp_forest,
     "op5_byte_cnn": op5_byte_cnn,
     "op6_simhash": op6_simhash,
+    "op7_minimum_cut": op7_minimum_cut,
     "op8_host_rules": op8_host_rules,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_bin_slack": op10_bin_slack,
