@@ -188,16 +188,38 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return stage(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(text).alias("fp")), "fingerprints")
 
 
+def groups(marked: DataFrame) -> DataFrame:
+    """(fp, group) of every fingerprint of ``marked``: the least fingerprint, as a long, that near pairs lead to."""
+    each = marked.select("fp").distinct()
+    nodes = connected_components(fingerprint_links(each)).select(F.col("node").alias("fp"), "component")
+    return each.join(nodes, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"))
+
+
 def near_duplicates(marked: DataFrame) -> DataFrame:
     """Adds component_id to (doc_id, fp): the least doc_id that near pairs lead to, its own included.
 
-    Rows whose ids are all null in a component get null.
+    Rows of a group whose ids are all null get null.
     """
+    of = stage(groups(marked), "groups")
     folded = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = connected_components(fingerprint_links(folded.select("fp")))
-    # Only fingerprints with a link to another take part in the join.
-    joined = folded.join(nodes, folded["fp"] == nodes["node"]).select("fp", "component", "least")
-    least = joined.groupBy("component").agg(F.min("least").alias("of_component"))
-    moved = joined.join(least, "component").select("fp", "of_component")
-    own = folded.join(moved, "fp", "left").select("fp", F.coalesce("of_component", "least").alias("component_id"))
-    return marked.join(own, "fp")
+    least = folded.join(of, "fp").groupBy("group").agg(F.min("least").alias("component_id"))
+    # Written out, so that both sides of the join with the rows are plain and a hot fingerprint can be split.
+    named = stage(of.join(least, "group").select("fp", "component_id"), "components")
+    return marked.join(named, "fp")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one row left of each group of near-duplicates: the one with the least id.
+
+    Rows without an id come last; of rows with the same id any one stays.
+    """
+    rows = stage(
+        docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("n"),
+                    fingerprints(text).alias("fp")),
+        "fingerprinted",
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "n")
+    # The best row of each fingerprint first, then of each group: no group of rows meets in one place.
+    folded = rows.groupBy("fp").agg(F.min(order).alias("best"))
+    kept = folded.join(groups(rows), "fp").groupBy("group").agg(F.min("best").alias("best")).select(F.col("best.n").alias("n"))
+    return rows.join(kept, "n", "left_semi").select("row.*")
