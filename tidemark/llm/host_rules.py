@@ -117,6 +117,12 @@ def host_verdicts(judged: DataFrame, host: str, failed: str, max_rate: float = M
     )
 
 
+def passing(judged: DataFrame, host: str, failed: str, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The rows of ``judged`` whose documents and hosts both pass."""
+    bad = rejected_hosts(judged, host, failed, max_rate)
+    return judged.where(~F.col(failed)).join(bad, judged[host].eqNullSafe(bad["host"]), "left_anti")
+
+
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """(doc_id, source, the counts, base_failed), one row per row of ``docs``; null texts have no words."""
     return (

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.staging import stage
 from tidemark.llm.words import texts, words
@@ -36,9 +37,10 @@ _FACTORS = np.random.default_rng(1).integers(1, 1 << 63, PHRASE, dtype=np.uint64
 DOC = ["id", "version"]
 
 
-def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text) with the key that orders documents."""
+def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: str | None = None) -> DataFrame:
+    """(doc_id, text) with the key that orders documents, and the column ``keep``."""
     return docs.select(
+        *([keep] if keep else []),
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).alias("version"),
     )
@@ -285,3 +287,26 @@ def digests(docs: DataFrame) -> DataFrame:
         rows.join(repeats(rows), DOC, "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "starts")
         .mapInArrow(_digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
     )
+
+
+@F.arrow_udf(T.StringType())
+def _remaining(text: pa.Array, starts: pa.Array) -> pa.Array:
+    return pa.array([
+        b" ".join(cut(t, s)[1]).decode() if s else None for t, s in zip(texts(text), starts.to_pylist())
+    ], pa.string())
+
+
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """``docs`` with earlier passages cut out of their texts.
+
+    Where something is cut, the words left are joined by one space and ``n_chars`` is counted anew; other
+    texts stay as they are. No row is dropped: a text that loses all its words becomes empty.
+    """
+    rows = keyed(docs.select(F.struct("*").alias("_row"), F.col(doc_id), F.col(text)), doc_id, text, keep="_row")
+    found = rows.join(repeats(rows), DOC, "left").select("_row", _remaining("text", "starts").alias("left"))
+    row, left = F.col("_row"), F.col("left")
+    changed = {text: F.coalesce(left, row[text])}
+    if n_chars in docs.columns:
+        kind = docs.schema[n_chars].dataType
+        changed[n_chars] = F.when(left.isNull(), row[n_chars]).otherwise(F.char_length(left).cast(kind))
+    return found.select(*(changed.get(c, row[c]).alias(c) for c in docs.columns))
