@@ -126,7 +126,7 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 10, vec_id: str = "v
         "points",
     )
     sample = points.orderBy(F.xxhash64("point")).limit(SAMPLE).select("v").toPandas()["v"]
-    sample = np.array(sample.tolist(), np.float32).reshape(len(sample), -1)
+    sample = np.array(sample.tolist(), np.float32) if len(sample) else np.zeros((0, 0), np.float32)
     forest = Forest(sample, points.count())
     forest.calibrate(sample, k)
 
