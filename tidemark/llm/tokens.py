@@ -1,10 +1,10 @@
 """Token ids by a public vocabulary, with each different stretch of text encoded once per worker.
 
 Byte-pair merges never reach across the vocabulary's own pre-tokens, and no pre-token of the vocabularies
-used here holds something else followed by white space. So a text may be cut before any space or line feed
-that follows something else, its stretches encoded on their own and the ids strung together. The exception
-is a stretch that ends in other white space, which may belong to the next one: then the whole text is
-encoded as it is.
+used here holds something else followed by white space, or a letter followed by another kind of character.
+So a text may be cut before any space or line feed that follows something else and behind Latin letters,
+its stretches encoded on their own and the ids strung together. The exception is a stretch that ends in
+other white space, which may belong to the next one: then the whole text is encoded as it is.
 """
 
 import os
@@ -13,7 +13,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-_STRETCH = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: A Latin word that ASCII (no letter) or white space follows, or anything up to white space. U+0130 is left
+#: out: its lower case is two characters, of which the second is no letter.
+_STRETCH = re.compile(r"[ \n]*(?:[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]++(?=[!-@\[-`{-~ \n]|\Z)|[^ \n]+)|[ \n]+")
 
 #: Stretches kept for good by each worker; later ones are forgotten after use. Bounds memory, not results.
 KEPT = 400_000
@@ -21,30 +23,47 @@ KEPT = 400_000
 BLOCK = 2_000_000
 
 
-class Encoder:
-    """Ids of whole texts. ``end`` is appended to each."""
+class _Places(dict):
+    """Numbers stretches in the order they are first asked for."""
 
-    def __init__(self, vocabulary: str, end: int, kept: int = KEPT):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
-        from tokenizers import Tokenizer
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
 
-        self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True  # their spellings in a text are ordinary text
+    def __missing__(self, stretch: str) -> int:
+        self.new.append(stretch)
+        self[stretch] = place = len(self)
+        return place
+
+
+class StretchEncoder:
+    """Ids of whole texts, stretch by stretch; ``end``, if any, is appended to each text.
+
+    A subclass says how texts are cut, what a stretch encodes to, and which stretches cannot be encoded on
+    their own.
+    """
+
+    def __init__(self, end: int | None = None, kept: int = KEPT):
         self._end, self._kept = end, kept
-        self._place: dict[str, int] = {}
+        self._place = _Places()
+        self._odd: set[str] = set()
         self._starts = np.zeros(0, np.int64)
         self._sizes = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.int32)
 
+    def _cut(self, text: str) -> list[str]:
+        raise NotImplementedError
+
     def _encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after the other, how many each has)."""
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum())), sizes
+        raise NotImplementedError
+
+    def _depends(self, stretch: str) -> bool:
+        """Whether what follows may change the stretch's ids."""
+        return False
 
     def _learn(self, new: list[str]) -> None:
         ids, sizes = self._encode(new)
-        self._place.update(zip(new, range(len(self._place), len(self._place) + len(new))))
         ends = np.cumsum(sizes) + len(self._ids)
         self._starts = np.concatenate((self._starts, ends - sizes))
         self._sizes = np.concatenate((self._sizes, sizes))
@@ -59,17 +78,13 @@ class Encoder:
         self._ids = self._ids[: self._starts[-1] + self._sizes[-1]] if n else self._ids[:0]
 
     def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        cut = [_STRETCH.findall(text) for text in texts]
-        new = list(dict.fromkeys(s for stretches in cut for s in stretches if s not in self._place))
+        cut = [self._cut(text) for text in texts]
+        place = self._place.__getitem__
+        places = [np.fromiter(map(place, stretches), np.int64, len(stretches)) for stretches in cut]
+        new, self._place.new = self._place.new, []
         self._learn(new)
-        odd = {s for s in new if s[-1] not in " \n" and s[-1].isspace()}
-        place = self._place
-        places = [np.fromiter((place[s] for s in stretches), np.int64, len(stretches)) for stretches in cut]
-        if odd or self._odd:
-            self._odd |= odd
-            whole = [i for i, stretches in enumerate(cut) if not self._odd.isdisjoint(stretches)]
-        else:
-            whole = []
+        self._odd.update(filter(self._depends, new))
+        whole = [i for i, stretches in enumerate(cut) if not self._odd.isdisjoint(stretches)] if self._odd else []
         for i in whole:
             places[i] = places[i][:0]
         counts = np.array([self._sizes[p].sum() for p in places], np.int64)
@@ -84,14 +99,13 @@ class Encoder:
                 counts[i] = len(parts[i])
             ids = np.concatenate(parts)
         self._forget(new)
+        if self._end is None:
+            return ids, counts
         return np.insert(ids, np.cumsum(counts), self._end), counts + 1
 
-    _odd: frozenset | set = frozenset()
-
     def encode(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(place of the first text, ids, ids per text) of blocks of neighbouring texts."""
         first = size = 0
-        self._odd = set()
         for i, text in enumerate(texts):
             size += len(text)
             if size >= BLOCK or i + 1 == len(texts):
@@ -99,6 +113,27 @@ class Encoder:
                 first, size = i + 1, 0
 
 
+class Encoder(StretchEncoder):
+    """Ids by a file of the ``tokenizers`` library."""
+
+    def __init__(self, vocabulary: str, end: int, kept: int = KEPT):
+        super().__init__(end, kept)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(vocabulary)
+        self._tokenizer.encode_special_tokens = True  # their spellings in a text are ordinary text
+        self._cut = _STRETCH.findall
+
+    def _encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum())), sizes
+
+    def _depends(self, stretch: str) -> bool:
+        return stretch[-1].isspace() and stretch[-1] not in " \n"
+
+
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
