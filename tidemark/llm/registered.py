@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_cnn, host_rules, main_text, packing, passages, rp_forest, simhash, slots, token_orc
+from tidemark.llm import byte_cnn, host_rules, main_text, packing, passages, pieces, rp_forest, simhash, slots, token_orc
 from tidemark.llm.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -62,6 +66,7 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_orc": op1_token_orc,
+    "op2_pieces": op2_pieces,
     "op3_passages": op3_passages,
     "op4_rp_forest": op4_rp_forest,
     "op5_byte_cnn": op5_byte_cnn,
