@@ -2,7 +2,6 @@ import random
 
 import pytest
 
-SF = "/root/testdata/sf0.001"
 #: Names that operators use inside, as columns of the input.
 CLASHING = "row string, fp string, id string, version string, n_words string, kept string, shard string, failed string, host string"
 
