@@ -47,7 +47,7 @@ WITH items AS (
     CASE chan WHEN 'nightly' THEN d - lag
       WHEN 'release' THEN 6 * (vnum - 71) - 2 + (CASE WHEN cyc < 3 THEN 0 ELSE 3 END)
       WHEN 'esr' THEN 6 * (vnum - 71) - 40
-      ELSE 6 * (vnum - 71) + cyc - 1 END AS build_offset
+      ELSE 6 * (vnum - 71) + cyc - CASE WHEN l_partkey % 83 = 0 THEN 0 ELSE 1 END END AS build_offset
   FROM cycles
 ), dated AS (
   SELECT *, date_add(DATE '2024-01-01', CAST(build_offset AS INT)) AS build_date FROM versions
@@ -63,6 +63,7 @@ SELECT
   CASE WHEN chan IN ('beta', 'aurora') AND cyc < 5
     THEN concat(CAST(vnum AS STRING), '.0b', CAST(cyc + 1 AS STRING)) ELSE app_version END AS app_display_version,
   CASE WHEN l_partkey % 89 = 0 THEN '20150101000000'
+    WHEN l_partkey % 97 = 0 AND chan = 'release' THEN '20171110100000'
     ELSE concat(CAST(year(build_date) * 10000 + month(build_date) * 100 + day(build_date) AS STRING), '100000')
   END AS app_build_id,
   l_linenumber AS shard
@@ -129,7 +130,7 @@ def product_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def major_list(spark: SparkSession, sf_dir: str, after: str) -> DataFrame:
     path = stored(spark, sf_dir, "majors", lambda p: major_documents(spark, sf_dir).write.text(p))
-    return releases.major_releases(spark.read.text(path), after, "value")
+    return releases.major_releases(spark.read.text(path), after, "value", strict=False)
 
 
 def registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +154,7 @@ def date_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flat build registry: one record per build, version, platform, locale and time."""
     build_day = F.to_date(F.substring("app_build_id", 1, 8), "yyyyMMdd")
-    published = F.unix_date(build_day).cast("long") * 86_400_000 + (10 + F.col("shard") % 3) * 3_600_000
+    published = F.unix_date(build_day).cast("long") * 86_400_000 + (10 + F.col("shard") % 3) * 3_600_000 + F.col("shard") * 7
     platform = F.when(F.col("os") == "Windows_NT", "win64").when(F.col("os") == "Darwin", "macosx64").otherwise("linux64")
     return clients(spark, sf_dir).select(
         F.col("app_build_id").alias("build_id"),

@@ -175,11 +175,13 @@ SELECT channel, os, vers, submission_date, n, n_pct, build_ids, show_n, version,
 FROM shown
 """)
 def _(spark, sf_dir):
+    """The current copy after a second run: nothing of the first, which showed other rows, is left."""
     target = scratch_path(spark, "feed")
-    jobs.run_serve(fx.curves(spark, sf_dir), target, fx.DISPLAY_BEFORE)
-    schema = """vers string, submission_date date, n long, n_pct double, build_ids string, show_n int, version string,
-        week_day string, days_after_release int, release_day date, channel string, os string"""
-    return spark.read.schema(schema).json(target)
+    curves = fx.curves(spark, sf_dir)
+    jobs.run_serve(curves, target, "2024-01-20")
+    jobs.run_serve(curves.where("channel <> 'beta'"), target, fx.DISPLAY_BEFORE)
+    jobs.run_serve(curves, target, fx.DISPLAY_BEFORE)
+    return sinks.read_chart_feed(spark, target)
 
 
 @check("job_increment", "SELECT * FROM counts")
@@ -292,7 +294,7 @@ def _text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT submission_date, chan, os, dvers, vers, bid, CASE WHEN dvers <> 'other' THEN CAST(n AS INTEGER) END AS n FROM counts
 """)
 def _(spark, sf_dir):
-    return quality.conform(_text_counts(spark, sf_dir), schemas.VERSION_COUNTS, {"n": T.IntegerType()})
+    return quality.conform(_text_counts(spark, sf_dir), schemas.VERSION_COUNTS, {"n": T.IntegerType()}, strict=False)
 
 
 @check("schema_map_lost", """

@@ -74,7 +74,7 @@ define("view_versions", """
     CASE WHEN chan = 'nightly' THEN d - lag
       WHEN chan = 'release' THEN 6 * (vnum - 71) - 2 + (CASE WHEN cyc < 3 THEN 0 ELSE 3 END)
       WHEN chan = 'esr' THEN 6 * (vnum - 71) - 40
-      ELSE 6 * (vnum - 71) + cyc - 1 END AS build_offset
+      ELSE 6 * (vnum - 71) + cyc - (CASE WHEN l_partkey % 83 = 0 THEN 0 ELSE 1 END) END AS build_offset
   FROM view_cycles
 """)
 define("clients", """
@@ -88,6 +88,7 @@ define("clients", """
     CASE WHEN chan IN ('beta', 'aurora') AND cyc < 5
       THEN CAST(vnum AS VARCHAR) || '.0b' || CAST(cyc + 1 AS VARCHAR) ELSE app_version END AS app_display_version,
     CASE WHEN l_partkey % 89 = 0 THEN '20150101000000'
+      WHEN l_partkey % 97 = 0 AND chan = 'release' THEN '20171110100000'
       ELSE strftime(DATE '2024-01-01' + CAST(build_offset AS INTEGER), '%Y%m%d') || '100000' END AS app_build_id,
     l_linenumber AS shard
   FROM view_versions
@@ -137,7 +138,7 @@ define("records", """
   SELECT DISTINCT app_build_id AS build_id, app_display_version AS version,
     CAST(strptime(substr(app_build_id, 1, 8), '%Y%m%d') AS DATE) - DATE '1970-01-01' AS day_no,
     (CAST(strptime(substr(app_build_id, 1, 8), '%Y%m%d') AS DATE) - DATE '1970-01-01') * 86400000
-      + (10 + shard % 3) * 3600000 AS pub_ms,
+      + (10 + shard % 3) * 3600000 + shard * 7 AS pub_ms,
     CASE os WHEN 'Windows_NT' THEN 'win64' WHEN 'Darwin' THEN 'macosx64' ELSE 'linux64' END AS platform,
     CASE WHEN shard <= 5 THEN 'en-US' ELSE 'de' END AS locale,
     normalized_channel AS channel, 'desktop' AS product

@@ -1,7 +1,7 @@
 """Command line of the batch jobs, for ``spark-submit run_job.py <step> ...``.
 
-The daily run is ``counts``, then ``curves``, then ``serve``; each stops with an error rather than
-pass on bad input.
+``daily`` runs ``counts``, ``curves`` and ``serve`` one after the other, and stops at the first error. Each
+step stops with an error rather than pass on bad input.
 """
 
 import argparse
@@ -40,16 +40,28 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     backfill.add_argument("last")
 
     serve = step("serve", "write the chart rows of the newest versions")
-    serve.add_argument(
-        "--versions", type=int, nargs=4, metavar=("RELEASE", "BETA", "AURORA", "NIGHTLY"),
-        default=[config.TOP_VERSIONS[c] for c in config.CURVE_CHANNELS],
-    )
+    daily = steps.add_parser("daily", help="all three steps for one day, with tables that exist")
+    for name in ("clients", "counts", "curves", "feed"):
+        daily.add_argument(name, help="table name or folder")
+    daily.add_argument("--app-name")
+    for sub in (serve, daily):
+        sub.add_argument(
+            "--versions", type=int, nargs=4, metavar=("RELEASE", "BETA", "AURORA", "NIGHTLY"),
+            default=[config.TOP_VERSIONS[c] for c in config.CURVE_CHANNELS],
+        )
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(f"tidemark {args.step}")
+    if args.step == "daily":
+        loaded = jobs.run_daily(
+            read_table(spark, args.clients), args.counts, args.curves, args.feed, args.as_of,
+            app_name=args.app_name, n_versions=dict(zip(config.CURVE_CHANNELS, args.versions)),
+        )
+        print("nothing to load" if loaded is None else f"loaded {loaded[0]} to {loaded[1]}")
+        return
     source = read_table(spark, args.source)
     if args.step == "counts":
         last = int(args.last) if args.last.isdigit() else args.last

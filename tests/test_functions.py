@@ -19,11 +19,17 @@ def evaluate(spark, fn, *values, schema=None):
 
 @pytest.mark.parametrize("version, want", [
     ("70.0b4", "70.0b04"), ("70.0", "70.0"), ("67.0b14", "67.0b14"), ("70.0b104", "70.0b104"),
+    ("70.0b007", "70.0b07"), ("70.0b0", "70.0b00"), (None, None),
 ])
 def test_sortable_beta(spark, version, want):
     assert evaluate(spark, V.sortable_beta, version) == want
 
 
+def test_sortable_beta_needs_a_number(spark):
+    with pytest.raises(Exception, match="no beta number: 70.0b3x"):
+        evaluate(spark, V.sortable_beta, "70.0b3x")
+
+
 @pytest.mark.parametrize("version, keep_rc, keep_release, want", [
     ("65.0b6rc", False, False, False), ("65.0b6rc", True, False, True),
     ("65.0", False, True, True), ("65.0", False, False, False),

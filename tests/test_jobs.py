@@ -34,7 +34,7 @@ def test_increment_then_nothing_missing(spark, clients, target):
     assert jobs.run_counts(clients, target, "2024-01-31") == (dt.date(2024, 1, 11), dt.date(2024, 1, 30))
     loaded = tables.read_table(spark, target)
     n, rows = loaded.agg(F.sum("n")).first()[0], loaded.count()
-    assert n == 3971 and rows == 1081
+    assert n == 3971 and rows == 1102
     assert jobs.run_counts(clients, target, "2024-01-31") is None
     assert tables.read_table(spark, target).count() == rows
 
@@ -109,8 +109,25 @@ def test_chart_feed_folders(spark, tmp_path):
     feed = str(tmp_path / "feed")
     jobs.run_serve(fx.curves(spark, SF), feed, "2024-01-31", n_versions={"release": 3, "nightly": 2})
     folders = {p.parent.relative_to(tmp_path / "feed").as_posix() for p in (tmp_path / "feed").rglob("*.json")}
-    assert folders == {f"channel={c}/os={o}" for c in ("release", "nightly") for o in ("Windows_NT", "Darwin", "Linux")}
-    assert spark.read.json(feed).where("show_n > 3").isEmpty()
+    inside = {f"channel={c}/os={o}" for c in ("release", "nightly") for o in ("Windows_NT", "Darwin", "Linux")}
+    assert folders == {f"{copy}/{part}" for copy in ("2024-01-31", "current") for part in inside}
+    assert sinks.read_chart_feed(spark, feed).where("show_n > 3").isEmpty()
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "static"])
+def test_a_second_feed_leaves_nothing_of_the_first(spark, tmp_path, mode):
+    feed, curves = str(tmp_path / "feed"), fx.curves(spark, SF)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        jobs.run_serve(curves, feed, "2024-01-30")
+        jobs.run_serve(curves.where("channel <> 'beta'"), feed, "2024-01-31")
+        assert sinks.read_chart_feed(spark, feed).where("channel = 'beta'").isEmpty()
+        assert not sinks.read_chart_feed(spark, feed, "2024-01-30").where("channel = 'beta'").isEmpty()
+        jobs.run_serve(curves.where("channel <> 'beta'"), feed, "2024-01-30")
+        assert sinks.read_chart_feed(spark, feed, "2024-01-30").where("channel = 'beta'").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def test_csv_interchange_keeps_nulls(spark, tmp_path, rows):
@@ -124,7 +141,7 @@ def test_csv_interchange_keeps_nulls(spark, tmp_path, rows):
 
 def session_stub(master, **conf):
     """``spark.checkpoint.dir`` is fixed once a session runs, so these cases use a stand-in."""
-    get = lambda key, default: conf.get(key.replace(".", "_"), default)
+    get = lambda key, default=None: conf.get(key.replace(".", "_"), default)
     return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=SimpleNamespace(master=master))
 
 
@@ -132,8 +149,8 @@ def test_scratch_path_is_the_shared_folder(spark):
     cluster = session_stub("spark://host:7077", spark_checkpoint_dir="hdfs://shared/cut/")
     assert scratch_path(cluster, "x").startswith("hdfs://shared/cut/x-")
     assert scratch_path(cluster, "x") != scratch_path(cluster, "x")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(session_stub("spark://host:7077"), "x")
+    unset = session_stub("spark://host:7077", spark_sql_warehouse_dir="hdfs://warehouse")
+    assert scratch_path(unset, "x").startswith("hdfs://warehouse/scratch/x-")
     assert scratch_path(spark, "x")
 
 
@@ -152,5 +169,37 @@ def test_command_line_runs_the_three_steps(spark, clients, tmp_path, capsys):
     assert capsys.readouterr().out.splitlines() == ["loaded 2024-01-01 to 2024-01-10", "loaded 2024-01-11 to 2024-01-30"]
     run_job.main(["--as-of", "2024-01-30", "curves", counts, curves, "--new"])
     run_job.main(["--as-of", "2024-01-31", "serve", curves, feed, "--versions", "12", "18", "18", "30"])
-    shown = spark.read.json(feed)
+    shown = sinks.read_chart_feed(spark, feed)
     assert shown.count() > 0 and shown.where("channel = 'release' AND show_n > 12").isEmpty()
+
+
+def test_text_that_is_no_number_stops_the_writer(spark, tmp_path):
+    row = spark.createDataFrame([("2024-01-01", "beta", "Linux", "70.0b1", "70.0", "20240101", "12 clients")],
+                                "submission_date string, chan string, os string, dvers string, vers string, bid string, n string")
+    with pytest.raises(Exception, match="column n cannot hold 12 clients"):
+        sinks.append_counts(row, str(tmp_path / "counts"))
+
+
+def test_an_unknown_channel_stops_the_curve_job(spark, tmp_path):
+    counts = fx.counts(spark, SF).limit(5)
+    odd = counts.unionByName(counts.limit(1).withColumn("chan", F.lit("mystery")))
+    with pytest.raises(Exception, match="no curve is defined for channel mystery"):
+        jobs.run_curves(odd, str(tmp_path / "curves"), "2024-01-30", target_exists=False)
+
+
+def test_a_table_started_twice_holds_each_date_once(spark):
+    counts = fx.counts(spark, SF)
+    for _ in range(2):  # neither run sees the other's dates
+        jobs.run_curves(counts, "curves_twice", "2024-01-30", target_exists=False)
+    assert tables.read_table(spark, "curves_twice").count() == jobs.adoption_curves(counts, "2024-01-30").count()
+
+
+def test_the_daily_command(spark, clients, tmp_path, capsys):
+    facts, counts, curves, feed = (str(tmp_path / name) for name in ("facts", "counts", "curves", "feed"))
+    clients.write.parquet(facts)
+    jobs.run_counts(clients, counts, "2024-01-29", "2024-01-01", target_exists=False)
+    jobs.run_curves(tables.read_table(spark, counts), curves, "2024-01-28", target_exists=False)
+    run_job.main(["--as-of", "2024-01-31", "daily", facts, counts, curves, feed])
+    assert capsys.readouterr().out.splitlines() == ["loaded 2024-01-29 to 2024-01-30"]
+    assert tables.read_table(spark, curves).agg(F.max("submission_date")).first()[0] == dt.date(2024, 1, 30)
+    assert not sinks.read_chart_feed(spark, feed, "2024-01-31").isEmpty()

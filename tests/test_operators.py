@@ -153,3 +153,10 @@ def test_first_and_last_per(spark, rows):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z")], "k string, d int, v string")
     assert rows(R.first_per(df, ["k"], ["d"])) == [("a", 1, "y"), ("b", 5, "z")]
     assert rows(R.last_per(df, ["k"], ["d"])) == [("a", 2, "x"), ("b", 5, "z")]
+
+
+def test_a_table_with_null_keys_equals_itself(spark, rows):
+    df = spark.createDataFrame([(None, "x", 5), ("a", None, 7), ("a", "x", 1)], "k string, v string, n long")
+    assert J.compare_counts(df, df, ["k", "v"]).isEmpty()
+    assert rows(J.mark_new_rows(df, df.where("k is null"), ["k", "v"]), "n", "n2", "new") == [(1, None, True), (5, 5, False), (7, None, True)]
+    assert rows(A.argmax_back(df, ["k"], "n", "v", "best"), "n", "best") == [(1, None), (5, "x"), (7, None)]

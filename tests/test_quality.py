@@ -59,7 +59,10 @@ def test_value_differences(spark, rows):
 def test_conform(spark, rows):
     schema = T.StructType().add("d", "date").add("n", "long")
     df = spark.createDataFrame([("7", "2024-01-01"), ("many", "2024-01-02"), (None, "soon")], "n string, d string")
-    got = Q.conform(df, schema)
+    for broken in (df.where("n = 'many'"), df.where("d = 'soon'")):
+        with pytest.raises(Exception, match="cannot hold (many|soon)"):
+            Q.conform(broken, schema).collect()
+    got = Q.conform(df, schema, strict=False)
     assert got.schema == schema
     assert rows(got) == [(DAY, 7), (dt.date(2024, 1, 2), None), (None, None)]
     assert rows(Q.lost_casts(df, schema)) == [("d", 1), ("n", 1)]

@@ -18,7 +18,7 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 1081
+    assert entry.entry(spark).count() == 1102
 
 
 @pytest.mark.parametrize("key", list(entry.queries()))

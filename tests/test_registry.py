@@ -6,6 +6,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.sources import registry as R
@@ -114,9 +115,9 @@ def test_product_and_tracked_releases(spark, rows):
     listed = release_table(spark, [
         ("a-70.0", "2019-10-22", "major", "70.0"), ("a-70.0.1", "2019-10-31", "stability", "70.0.1"),
         ("a-68.2.0esr", "2019-10-22", "stability", "68.2.0"), ("a-64.0", "2018-12-11", "major", "64.0"),
-        ("a-71.0b3", "2019-10-25", "dev", "71.0b3"), ("a-x", "soon", "major", "99.0"), ("a-y", "2019-01-01", "major", "63.9"),
+        ("a-71.0b3", "2019-10-25", "dev", "71.0b3"), ("a-y", "2019-01-01", "major", "63.9"),
     ])
-    assert listed.count() == 7
+    assert listed.count() == 6
     assert rows(L.release_rows(listed), "version") == [("70.0",), ("70.0.1",)]
 
 
@@ -141,3 +142,35 @@ def test_major_releases(spark, rows):
     got = L.major_releases(majors)
     assert rows(got) == [(dt.date(2019, 10, 22), "70", 70), (dt.date(2019, 12, 3), "71", 71)]
     assert L.current_major(got).first()[0] == 71
+
+
+def test_latest_release_chooses_by_number(spark):
+    frame = spark.createDataFrame([(["60.0.4", "71.0", "9.0"],), (["70.0b3", "70.0b10"],), (["70.0b3", "70.0"],), ([],)], "v array<string>")
+    chosen = [r[0] for r in frame.select(R.latest_release(F.col("v"))).collect()]
+    assert chosen == ["71.0", "70.0b10", "70.0", None]
+
+
+def test_a_broken_line_of_a_dump_fails_the_job(spark, tmp_path):
+    line = '{"version":{"buckets":[{"key":"70.0b3"}]},"pub_date":{"buckets":[{"key":1}]},"buildid":{"buckets":[{"key":"20240102"}]}}'
+    path = tmp_path / "dump.json"
+    path.write_text(line + "\n")
+    assert R.read_registry_dump(spark, str(path), "beta").count() == 1
+    path.write_text(line + "\n" + line[:40] + "\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        R.read_registry_dump(spark, str(path), "beta").collect()
+    assert [r.value for r in R.unreadable_lines(spark.read.text(str(path))).collect()] == [line[:40]]
+
+
+def test_an_unreadable_release_document_fails_the_job(spark, rows):
+    good = '{"app-70.0": {"date": "2024-01-02", "category": "major", "version": "70.0", "product": "app"}}'
+    undated = good.replace("2024-01-02", "soon")
+    documents = spark.createDataFrame([(good,), (good[:30],), (undated,)], "json string")
+    for broken, said in ((good[:30], "MALFORMED_RECORD|Malformed"), (undated, "not a date: soon")):
+        with pytest.raises(Exception, match=said):
+            L.product_releases(documents.where(F.col("json").isin(good, broken))).collect()
+    listed = L.unreadable_documents(documents, schemas.PRODUCT_RELEASES, "date")
+    assert rows(listed, "label", "problem") == [("app-70.0", "date"), (None, "document")]
+    majors = spark.createDataFrame([('{"70": "2024-01-02", "14.0.1": "2024-01-03"}',)], "json string")
+    with pytest.raises(Exception, match="not a whole number: 14.0.1"):
+        L.major_releases(majors).collect()
+    assert rows(L.major_releases(majors, strict=False), "vers") == [(70,), (None,)]

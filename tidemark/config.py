@@ -28,6 +28,7 @@ LOOKBACK_DAYS = 11 * 30     # counts read by the curve job
 OLD_BUILD_LENGTH = 8        # floored build ids are yyyyMMdd; real ones are longer
 
 CURVE_CHANNELS = ("release", "beta", "aurora", "nightly")
+UNCURVED_CHANNELS = ("esr",)                                         # counted, but without curves
 CURVE_MONTHS = {"release": 7, "beta": 3, "aurora": 3, "nightly": 3}   # months of 30 days
 DISPLAY_DAYS = {"release": 30, "beta": 10, "nightly": 7, "aurora": 10}
 DISPLAY_FLOOR = -2          # days after release must exceed this

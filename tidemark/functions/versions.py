@@ -40,11 +40,16 @@ def rc_label(version: Column, build_id: Column) -> Column:
 
 
 def sortable_beta(version: Column) -> Column:
-    """Pads the beta number to two digits so that strings sort in release order."""
-    number = F.split_part(version, F.lit("b"), F.lit(2))
-    width = F.greatest(F.length(number), F.lit(2))
-    padded = F.concat(F.split_part(version, F.lit("b"), F.lit(1)), F.lit("b"), F.lpad(number, width, F.lit("0")))
-    return F.when(version.contains("b"), padded).otherwise(version)
+    """The beta number in two digits at least, so that strings sort in release order; ``b007`` is 7.
+
+    What follows ``b`` must be a number: other text fails the job.
+    """
+    text = F.split_part(version, F.lit("b"), F.lit(2))
+    whole = text.rlike(r"^\d+$")
+    said = F.concat(F.lit("no beta number: "), version)
+    number = F.when(whole, F.regexp_replace(text, r"^0+(?=\d)", "")).otherwise(F.raise_error(said))
+    padded = F.lpad(number, F.greatest(F.length(number), F.lit(2)), F.lit("0"))
+    return F.when(version.contains("b"), F.concat(F.split_part(version, F.lit("b"), F.lit(1)), F.lit("b"), padded)).otherwise(version)
 
 
 def version_kind(version: Column, keep_rc: bool | Column = False, keep_release: bool | Column = False) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import config
 from tidemark.functions.builds import build_day, clamp_nightly_day, nearest_build_day
 from tidemark.functions.dates import as_date, days_since
-from tidemark.operators.totals import with_grand_share, with_group, with_share
+from tidemark.operators.totals import join_back, with_grand_share, with_group, with_share
 
 Day = dt.date | str
 
@@ -45,7 +45,7 @@ def argmax(df: DataFrame, keys: Sequence[str], x: str, y: str, tie: str | None =
 def argmax_back(df: DataFrame, keys: Sequence[str], x: str, y: str, name: str, tie: str | None = None) -> DataFrame:
     """``argmax`` put back on every row of its group."""
     best = argmax(df, keys, x, y, tie).withColumnRenamed(y, name)
-    return df.join(best, list(keys), "left")
+    return join_back(df, best, keys)
 
 
 def nightly_display_version(nightly: DataFrame) -> DataFrame:

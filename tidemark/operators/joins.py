@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.totals import join_back
+
 
 def release_date_lookup(dates: DataFrame) -> DataFrame:
     """One date per (chan, version): the row with the greatest ordinal."""
@@ -71,12 +73,15 @@ def full_compare(prod: DataFrame, test: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def compare_counts(prod: DataFrame, test: DataFrame, keys: Sequence[str], more_than: float = 1) -> DataFrame:
-    """Keys of ``prod`` whose count differs from ``test`` by more than a percentage."""
+    """Keys of ``prod`` whose count differs from ``test`` by more than a percentage.
+
+    A NULL key is a key like any other and matches itself.
+    """
     np_ = prod.groupBy(*keys).agg(F.sum("n").alias("np"))
     nt_ = test.groupBy(*keys).agg(F.sum("n").alias("nt"))
     percent = F.round(F.try_divide(F.col("df"), F.col("np")) * 100, 1)
     return (
-        np_.join(nt_, list(keys), "left")
+        join_back(np_, nt_, keys, how="left")
         .withColumn("nt", F.coalesce("nt", F.lit(0)))
         .withColumn("df", F.col("nt") - F.col("np"))
         .withColumn("dfp", percent)
@@ -86,9 +91,10 @@ def compare_counts(prod: DataFrame, test: DataFrame, keys: Sequence[str], more_t
 
 
 def mark_new_rows(today: DataFrame, yesterday: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Today's rows with yesterday's count, ``new`` when there was no such row."""
-    before = yesterday.select(*keys, F.col("n").alias("n2"))
-    return today.select(*keys, "n").join(before, list(keys), "left").withColumn("new", F.col("n2").isNull())
+    """Today's rows with yesterday's count, ``new`` when there was no such row. NULL keys match like any other."""
+    before = yesterday.select(*keys, F.col("n").alias("n2"), F.lit(True).alias("_seen"))
+    joined = join_back(today.select(*keys, "n"), before, keys, how="left")
+    return joined.withColumn("new", F.col("_seen").isNull()).drop("_seen")
 
 
 def not_loaded(rows: DataFrame, loaded_dates: DataFrame, day: str = "submission_date") -> DataFrame:

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
@@ -23,16 +23,14 @@ def malformed_dates(df: DataFrame, column: str) -> DataFrame:
 
 def duplicate_dates(table: DataFrame, first: Day, last: Day) -> DataFrame:
     """Dates of a requested range that the table already has, with their row counts."""
-    spark = table.sparkSession
-    requested = spark.range(1).select(
-        F.explode(F.sequence(F.lit(as_date(first)), F.lit(as_date(last)))).alias("submission_date")
-    )
     loaded = table.where(F.col("submission_date").between(as_date(first), as_date(last)))
-    return (
-        loaded.groupBy("submission_date")
-        .agg(F.count("*").alias("n_rows"))
-        .join(requested, "submission_date", "left_semi")
-    )
+    return loaded.groupBy("submission_date").agg(F.count("*").alias("n_rows"))
+
+
+def loaded_of(table: DataFrame, requested: DataFrame) -> DataFrame:
+    """Dates of a list, which need not be a range, that the table already has, with their row counts."""
+    loaded = table.groupBy("submission_date").agg(F.count("*").alias("n_rows"))
+    return loaded.join(requested.select("submission_date").distinct(), "submission_date", "left_semi")
 
 
 def uneven_denominators(curves: DataFrame) -> DataFrame:
@@ -50,10 +48,7 @@ def not_one_to_one(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of ``before`` that an added-column join lost or altered, and rows it added."""
-    same = after.select(*before.columns)
-    lost = before.exceptAll(same).withColumn("problem", F.lit("lost"))
-    extra = same.exceptAll(before).withColumn("problem", F.lit("added"))
-    return lost.unionByName(extra)
+    return _unmatched(before, after.select(*before.columns), "problem", "lost", "added")
 
 
 def early_submissions(counts: DataFrame, published: str, min_days: int = -1) -> DataFrame:
@@ -70,10 +65,18 @@ def non_integer_majors(majors: DataFrame, version: str = "version") -> DataFrame
 
 def value_differences(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows found in only one of two tables, told apart by ``side``."""
-    second = second.select(*first.columns)
-    only_first = first.exceptAll(second).withColumn("side", F.lit("first"))
-    only_second = second.exceptAll(first).withColumn("side", F.lit("second"))
-    return only_first.unionByName(only_second)
+    return _unmatched(first, second.select(*first.columns), "side", "first", "second")
+
+
+def _unmatched(one: DataFrame, other: DataFrame, name: str, in_one: str, in_other: str) -> DataFrame:
+    """Rows that one frame has more often than the other, as often as it has more, each frame read once."""
+    signed = one.withColumn("_n", F.lit(1)).unionAll(other.withColumn("_n", F.lit(-1)))
+    surplus = signed.groupBy(*one.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return surplus.select(
+        *one.columns,
+        F.when(F.col("_n") > 0, in_one).otherwise(in_other).alias(name),
+        F.explode(F.array_repeat(F.lit(1), F.abs("_n").cast("int"))).alias("_n"),
+    ).drop("_n")
 
 
 def lost_casts(df: DataFrame, schema: T.StructType, overrides: dict[str, T.DataType] | None = None) -> DataFrame:
@@ -105,15 +108,29 @@ def target_types(
     return {c: declared[c] for c in df.columns}
 
 
-def conform(df: DataFrame, schema: T.StructType, overrides: dict[str, T.DataType] | None = None) -> DataFrame:
-    """Casts to the declared types, in schema order; unreadable values become NULL."""
+def _cast(name: str, kind: T.DataType, strict: bool) -> Column:
+    """A cast that fails, or gives NULL, whatever the session's ANSI setting says."""
+    value = F.col(name).try_cast(kind)
+    if not strict:
+        return value.alias(name)
+    said = F.concat(F.lit(f"column {name} cannot hold "), F.col(name).cast("string"))
+    return F.when(F.col(name).isNotNull() & value.isNull(), F.raise_error(said)).otherwise(value).alias(name)
+
+
+def conform(
+    df: DataFrame, schema: T.StructType, overrides: dict[str, T.DataType] | None = None, strict: bool = True
+) -> DataFrame:
+    """Casts to the declared types, in schema order. An unreadable value fails the job; ``lost_casts`` counts them.
+
+    With ``strict`` off it becomes NULL, for looking at data only: no writer uses that.
+    """
     target = target_types(df, schema, overrides)
     absent = [f.name for f in schema.fields if f.name not in target]
     if absent:
         raise QualityError(f"declared columns are missing: {absent}")
     return df.select(
         *[
-            F.col(f.name) if df.schema[f.name].dataType == target[f.name] else F.col(f.name).try_cast(target[f.name])
+            F.col(f.name) if df.schema[f.name].dataType == target[f.name] else _cast(f.name, target[f.name], strict)
             for f in schema.fields
         ]
     )

@@ -17,12 +17,15 @@ BROADCAST_ROWS = 500_000
 def bounded(summary: DataFrame, max_rows: int | None) -> DataFrame:
     """Asks for a broadcast when the caller can prove a row bound that is small enough.
 
-    Without a bound, or beyond it, the choice is left to Spark and its measured sizes.
+    Without a bound, or beyond it, the choice is left to Spark and its measured sizes. Only the way of joining
+    depends on the bound, never a row of the result.
     """
     return F.broadcast(summary) if max_rows is not None and max_rows <= BROADCAST_ROWS else summary
 
 
-def join_back(df: DataFrame, summary: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> DataFrame:
+def join_back(
+    df: DataFrame, summary: DataFrame, keys: Sequence[str], max_rows: int | None = None, how: str = "inner"
+) -> DataFrame:
     """Puts a summary of ``df``, one row per key, on its rows. NULL keys match like any other.
 
     The null-safe join also keeps both inputs alike: a plain one would add a not-NULL filter to one
@@ -30,7 +33,7 @@ def join_back(df: DataFrame, summary: DataFrame, keys: Sequence[str], max_rows:
     """
     summary = summary.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return df.join(bounded(summary, max_rows), same).drop(*[f"_{k}" for k in keys])
+    return df.join(bounded(summary, max_rows), same, how).drop(*[f"_{k}" for k in keys])
 
 
 def with_group(

@@ -33,17 +33,25 @@ def version_key(chan: Column, vers: Column, dvers: Column, bid: Column) -> Colum
     )
 
 
+def of_curve_channels(counts: DataFrame, channels: Sequence[str] = config.CURVE_CHANNELS) -> DataFrame:
+    """Rows of the given channels. Channels without curves are left out by name; any other fails the job."""
+    chan = F.col("chan")
+    unknown = F.raise_error(F.concat(F.lit("no curve is defined for channel "), F.coalesce(chan, F.lit("NULL"))))
+    known = F.coalesce(chan.isin(*config.CURVE_CHANNELS, *config.UNCURVED_CHANNELS), F.lit(False))
+    return counts.where(F.when(known, chan.isin(*channels)).otherwise(unknown.cast("boolean")))
+
+
 def unify_channels(counts: DataFrame, channels: Sequence[str] = config.CURVE_CHANNELS) -> DataFrame:
     """Counts of the tracked channels in one shape: one projection, not a frame per channel."""
     key = version_key(F.col("chan"), F.col("vers"), F.col("dvers"), F.col("bid"))
-    return counts.where(F.col("chan").isin(*channels) & F.col("os").isin(*config.OSES)).select(
+    return of_curve_channels(counts, channels).where(F.col("os").isin(*config.OSES)).select(
         "submission_date", F.col("chan").alias("channel"), "os", key.alias("vers"), "dvers", "bid", "n"
     )
 
 
 def unify_with_release_dates(counts: DataFrame, dates: DataFrame) -> DataFrame:
     """``unify_channels`` with ``rls_date``: looked up by display version, or the nightly's day."""
-    dated = join_release_date(counts.where(F.col("chan").isin(*config.CURVE_CHANNELS)), dates)
+    dated = join_release_date(of_curve_channels(counts), dates)
     chan = F.col("chan")
     return dated.select(
         "submission_date",

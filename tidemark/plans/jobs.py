@@ -93,7 +93,21 @@ def run_backfill(
 
 def run_serve(curves: DataFrame, target: str, before: Day, **options) -> None:
     """Step 3: the chart rows of the newest versions."""
-    sinks.write_chart_feed(chart_feed(curves, before, **options), target)
+    sinks.write_chart_feed(chart_feed(curves, before, **options), target, before)
+
+
+def run_daily(
+    clients: DataFrame, counts: str, curves: str, feed: str, as_of: Day, app_name: str | None = None, **options
+) -> tuple[dt.date, dt.date] | None:
+    """The three steps of a day, one after the other. An error in one keeps the later ones from running.
+
+    Curves are those as of the last full day, and the feed shows what lies before ``as_of``. Returns the dates loaded.
+    """
+    spark = clients.sparkSession
+    loaded = run_counts(clients, counts, as_of, app_name=app_name)
+    run_curves(read_table(spark, counts), curves, days_before(as_of, 1))
+    run_serve(read_table(spark, curves), feed, as_of, **options)
+    return loaded
 
 
 def _window_start(as_of: Day, months: Mapping[str, int]) -> dt.date:

@@ -81,3 +81,18 @@ PRODUCT_RELEASE = _struct(
 )
 PRODUCT_RELEASES = T.MapType(_STR, PRODUCT_RELEASE)
 MAJOR_RELEASES = T.MapType(_STR, _STR)
+
+CHART_FEED = _struct(
+    vers=_STR,
+    submission_date=_DATE,
+    n=_LONG,
+    n_pct=_DOUBLE,
+    build_ids=_STR,
+    show_n=_INT,
+    version=_STR,
+    week_day=_STR,
+    days_after_release=_INT,
+    release_day=_DATE,
+    channel=_STR,
+    os=_STR,
+)

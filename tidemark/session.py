@@ -1,6 +1,5 @@
 """Session settings the jobs are designed for, and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,11 +28,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of this machine.
+    Where it names none the session's warehouse, which is shared too, stands in.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,11 +1,12 @@
 """Build registry: which versions were published under which build id, and when."""
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import config, schemas
 from tidemark.functions import versions as V
@@ -53,8 +54,33 @@ def buckets_to_registry(dump: DataFrame, channel: str) -> DataFrame:
 
 
 def read_registry_dump(spark: SparkSession, path: str, channel: str) -> DataFrame:
-    """A dump of one JSON bucket per line; the schema is given, never inferred."""
-    return buckets_to_registry(spark.read.schema(schemas.REGISTRY_BUCKET).json(path), channel)
+    """A dump of one JSON bucket per line; the schema is given, never inferred. A broken line fails the job."""
+    return buckets_to_registry(spark.read.schema(schemas.REGISTRY_BUCKET).json(path, mode="FAILFAST"), channel)
+
+
+def unreadable_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Lines of a dump that are no JSON bucket of the schema."""
+    with_rest = T.StructType([*schemas.REGISTRY_BUCKET.fields, T.StructField("_broken", T.StringType())])
+    parsed = F.from_json(F.col(line), with_rest, {"columnNameOfCorruptRecord": "_broken"})
+    return lines.where((F.trim(line) != "") & F.coalesce(parsed["_broken"].isNotNull(), F.lit(True)))
+
+
+Choice = Callable[[Column], Column]
+
+
+def smallest_text(versions: Column) -> Column:
+    """The smallest version string: ``70.0b10`` comes before ``70.0b3``."""
+    return F.array_min(versions)
+
+
+def latest_release(versions: Column) -> Column:
+    """The last version in release order: numbers compare as numbers, and a beta comes before its release."""
+    def order(v: Column) -> Column:
+        numbers = F.transform(F.split(F.split_part(v, F.lit("b"), F.lit(1)), r"\."), lambda x: F.coalesce(x.try_cast("int"), F.lit(-1)))
+        beta = F.when(v.contains("b"), F.split_part(v, F.lit("b"), F.lit(2)).try_cast("int")).otherwise(F.lit(2**31 - 1))
+        return F.struct(numbers.alias("numbers"), beta.alias("beta"), v.alias("version"))
+
+    return F.array_max(F.transform(versions, order))["version"]
 
 
 def registry_triplets(
@@ -62,16 +88,16 @@ def registry_triplets(
     wanted_major: V.MajorSpec = None,
     keep_rc: bool | Column = False,
     keep_release: bool = False,
+    choose: Choice = smallest_text,
 ) -> DataFrame:
-    """(channel, version, build_id, pub_ms): the smallest kept version string and earliest time.
+    """(channel, version, build_id, pub_ms): one of the kept versions of each build, and the earliest time.
 
-    Versions compare as strings, so ``70.0b10`` sorts before ``70.0b3``. Builds left without a
-    version are dropped.
+    ``choose`` picks the version from the array of kept ones. Builds left without a version are dropped.
     """
     kept = F.filter("versions", lambda v: V.version_kind(v, keep_rc, keep_release) & V.major_version(v, wanted_major))
     return registry.select(
         "channel",
-        F.array_min(kept).alias("version"),
+        choose(kept).alias("version"),
         "build_id",
         F.array_min("pub_dates").alias("pub_ms"),
     ).where(F.col("version").isNotNull())
@@ -123,10 +149,11 @@ def channel_builds(
     keep_rc_on: Sequence[str] = ("aurora",),
     keep_release: bool = True,
     keep_all_runs: bool = False,
+    choose: Choice = smallest_text,
 ) -> DataFrame:
     """Builds as (version, build_id, date, chan), all channels from one read of the registry."""
     registry = build_registry(records, min_build, channels, product)
-    triplets = registry_triplets(registry, wanted_major, F.col("channel").isin(*keep_rc_on), keep_release)
+    triplets = registry_triplets(registry, wanted_major, F.col("channel").isin(*keep_rc_on), keep_release, choose)
     return last_runs(triplets, keep_all_runs).select(
         "version",
         "build_id",

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import config, schemas
 from tidemark.functions import versions as V
@@ -12,25 +13,59 @@ from tidemark.functions.dates import as_date
 Day = dt.date | str
 
 
+FAIL_FAST = {"mode": "FAILFAST"}
+
+
+def strict_date(text: Column) -> Column:
+    """The date of a ``yyyy-MM-dd`` text. Any other text fails the job; NULL stays NULL."""
+    day = F.try_to_date(text, "yyyy-MM-dd")
+    return F.when(text.isNotNull() & day.isNull(), F.raise_error(F.concat(F.lit("not a date: "), text))).otherwise(day)
+
+
+def unreadable_documents(documents: DataFrame, schema: T.DataType, day: str, json: str = "json") -> DataFrame:
+    """(document, label, problem): documents that are no JSON map of the schema, and entries without a readable date.
+
+    ``day`` is the field of an entry that holds its date; empty if the entry is the date.
+    """
+    text = F.col(json)
+    parsed = documents.select(text.alias("document"), F.from_json(text, schema).alias("entries"))
+    whole = F.col("entries").isNotNull() & F.forall(F.map_values("entries"), lambda e: e.isNotNull())
+    broken = parsed.where(~F.coalesce(whole, F.lit(False))).select("document", F.lit(None).cast("string").alias("label"), F.lit("document").alias("problem"))
+    entries = parsed.where(whole).select("document", F.explode("entries").alias("label", "entry"))
+    date = F.col(f"entry.{day}") if day else F.col("entry")
+    undated = entries.where(F.try_to_date(date, "yyyy-MM-dd").isNull())
+    return broken.unionByName(undated.select("document", "label", F.lit("date").alias("problem")))
+
+
 def product_releases(documents: DataFrame, json: str = "json") -> DataFrame:
-    """One row per release label from documents that map labels to release records."""
+    """One row per release label from documents that map labels to release records.
+
+    A document that cannot be read, or a date that is none, fails the job; ``unreadable_documents`` lists them.
+    """
     entries = documents.select(
-        F.explode(F.from_json(F.col(json), schemas.PRODUCT_RELEASES)).alias("release_label", "release")
+        F.explode(F.from_json(F.col(json), schemas.PRODUCT_RELEASES, FAIL_FAST)).alias("release_label", "release")
     )
-    return entries.select("release_label", "release.*").withColumn("date", F.try_to_date("date", "yyyy-MM-dd"))
+    return entries.select("release_label", "release.*").withColumn("date", strict_date(F.col("date")))
 
 
-def major_releases(documents: DataFrame, after: Day = "2018-01-01", json: str = "json") -> DataFrame:
+def major_releases(
+    documents: DataFrame, after: Day = "2018-01-01", json: str = "json", strict: bool = True
+) -> DataFrame:
     """(date, version, vers) of major releases after a date, ``vers`` as an integer.
 
-    Text that is not a whole number gives NULL here; ``quality.non_integer_majors`` lists it.
+    Text that is not a whole number fails the job, as do unreadable documents and dates. With ``strict`` off
+    it gives NULL, for ``quality.non_integer_majors`` to list.
     """
-    entries = documents.select(F.explode(F.from_json(F.col(json), schemas.MAJOR_RELEASES)).alias("version", "day"))
+    entries = documents.select(
+        F.explode(F.from_json(F.col(json), schemas.MAJOR_RELEASES, FAIL_FAST)).alias("version", "day")
+    )
     number = F.col("version").try_cast("double")
+    whole = F.when(number == F.floor(number), number.cast("int"))
+    if strict:
+        said = F.concat(F.lit("not a whole number: "), F.col("version"))
+        whole = F.coalesce(whole, F.raise_error(said).cast("int"))
     return entries.select(
-        F.try_to_date("day", "yyyy-MM-dd").alias("date"),
-        "version",
-        F.when(number == F.floor(number), number.cast("int")).alias("vers"),
+        strict_date(F.col("day")).alias("date"), "version", whole.alias("vers")
     ).where(F.col("date") > as_date(after))
 
 

@@ -68,13 +68,29 @@ def loaded_dates(spark: SparkSession, target: str, first: Day) -> DataFrame:
     return spark.createDataFrame([(d,) for d in days], T.StructType([T.StructField("submission_date", T.DateType())]))
 
 
+def _replace_dates_in_table(df: DataFrame, target: str) -> None:
+    """Writes the dates of ``df`` into a catalog table, each as a whole; other dates stay."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(target):
+        _by_date(df).saveAsTable(target)
+        return
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")  # inserts into tables heed the session only
+    try:
+        rows = df.hint("rebalance", "submission_date").select(*spark.table(target).columns)
+        rows.write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def append_new_dates(
     curves: DataFrame, target: str, first: Day, target_exists: bool = True, returns: str | None = "all"
 ) -> DataFrame | None:
     """Appends the rows whose date the table does not hold yet.
 
-    In a folder, only partitions of new dates are written, each as a whole, so a repeated or
-    restarted run leaves the same table. ``returns``: ``"all"`` rows, the ``"upload"`` ones, or None.
+    Only partitions of new dates are written, each as a whole, so a repeated or restarted run, or two at
+    once, leave the same table. ``returns``: ``"all"`` rows, the ``"upload"`` ones, or None.
     """
     if returns not in ("all", "upload", None):
         raise ValueError(f"returns must be 'all', 'upload' or None, not {returns!r}")
@@ -85,10 +101,27 @@ def append_new_dates(
     if is_path(target):
         _by_date(fresh).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
     else:
-        _append_to_table(fresh, target)
+        _replace_dates_in_table(fresh, target)
     return {"all": rows, "upload": fresh, None: None}[returns]
 
 
-def write_chart_feed(feed: DataFrame, target: str) -> None:
-    """Chart rows as JSON lines, one folder per channel and system."""
-    feed.hint("rebalance", "channel", "os").write.partitionBy("channel", "os").mode("overwrite").json(target)
+def write_chart_feed(feed: DataFrame, target: str, run_date: Day) -> None:
+    """Chart rows as JSON lines: a folder for the run's date, and a copy of it under ``current``.
+
+    Each is replaced as a whole, whatever the session says about overwriting partitions; inside there is one
+    folder per channel and system.
+    """
+    dated = f"{target.rstrip('/')}/{as_date(run_date)}"
+    _replace_feed(feed, dated)
+    _replace_feed(feed.sparkSession.read.schema(feed.schema).json(dated), f"{target.rstrip('/')}/current")
+
+
+def _replace_feed(feed: DataFrame, folder: str) -> None:
+    by_channel = feed.hint("rebalance", "channel", "os").write.partitionBy("channel", "os")
+    by_channel.option("partitionOverwriteMode", "static").mode("overwrite").json(folder)
+
+
+def read_chart_feed(spark: SparkSession, target: str, run_date: Day | None = None) -> DataFrame:
+    """The feed of one run, or the current one."""
+    folder = "current" if run_date is None else str(as_date(run_date))
+    return spark.read.schema(schemas.CHART_FEED).json(f"{target.rstrip('/')}/{folder}")
