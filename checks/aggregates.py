@@ -32,7 +32,7 @@ def _(spark, sf_dir):
 
 @check("agg_reduced_counts", "SELECT * FROM counts")
 def _(spark, sf_dir):
-    return C.reduce_counts(C.fold_rare(C.count_versions(sampled(spark, sf_dir))))
+    return C.reduce_counts(C.fold_rare(C.count_versions(sampled(spark, sf_dir)), max_groups=fx.DAY_GROUPS))
 
 
 DAILY_SQL = f"SELECT submission_date, app_version, count(*) AS n FROM clients WHERE {WINDOW_SQL} GROUP BY ALL"
@@ -173,7 +173,7 @@ def match_sql(keys: str, flag: str, source: str) -> str:
 
 @check("agg_match_rate", match_sql("chan, os", "same_dv", "matched"))
 def _(spark, sf_dir):
-    return A.match_rate(matched(spark, sf_dir), ["chan", "os"], "same_dv")
+    return A.match_rate(matched(spark, sf_dir), ["chan", "os"], "same_dv", fx.counts(spark, sf_dir))
 
 
 @check("agg_match_rate_null_date", match_sql("os", "rls_date IS NULL", """(
@@ -183,13 +183,13 @@ def _(spark, sf_dir):
     """Counts with and without a release date, old builds left out."""
     aurora = fx.counts(spark, sf_dir).where("chan = 'aurora' AND length(bid) > 8")
     dated = J.join_release_date(aurora, fx.date_lookup(spark, sf_dir)).withColumn("undated", F.col("rls_date").isNull())
-    return A.match_rate(dated, ["os"], "undated")
+    return A.match_rate(dated, ["os"], "undated", aurora)
 
 
 @check("top_k_rows", match_sql("os, vers, dvers, bid", "same_dv", "matched") + "ORDER BY tot DESC, os, vers, dvers, bid LIMIT 30")
 def _(spark, sf_dir):
     keys = ["os", "vers", "dvers", "bid"]
-    rated = A.match_rate(matched(spark, sf_dir), keys, "same_dv")
+    rated = A.match_rate(matched(spark, sf_dir), keys, "same_dv", fx.counts(spark, sf_dir))
     return A.top_rows(rated, 30, F.desc("tot"), *[F.asc(k) for k in keys])
 
 
@@ -245,11 +245,11 @@ def _(spark, sf_dir):
 
 @check("agg_top_mismatch", """
 SELECT bid, CAST(sum(n) AS BIGINT) AS n FROM matched
-WHERE chan = 'release' AND bid > (SELECT min(bid) FROM matched WHERE chan = 'release') AND NOT same_dv
+WHERE chan = 'beta' AND bid > (SELECT min(bid) FROM matched WHERE chan = 'beta') AND NOT same_dv
 GROUP BY bid HAVING sum(n) > 5
 """)
 def _(spark, sf_dir):
-    return A.top_mismatches(matched(spark, sf_dir), "release", 5)
+    return A.top_mismatches(matched(spark, sf_dir), "beta", 5, fx.counts(spark, sf_dir))
 
 
 PROFILED = ["vers_min_date_above_npct", "days_post_pub", "build_ids", "n_pct", "dvers"]
@@ -386,7 +386,7 @@ SELECT submission_date, chan, os, dvers, vers, bid, n, CAST(sum(n) OVER (PARTITI
   n / sum(n) OVER (PARTITION BY chan, os) AS share FROM counts
 """)
 def _(spark, sf_dir):
-    return with_share(fx.counts(spark, sf_dir), ["chan", "os"], total="chan_os_bid_n")
+    return with_share(fx.counts(spark, sf_dir), ["chan", "os"], total="chan_os_bid_n", max_groups=fx.SERIES)
 
 
 @check("win_dedupe_first", f"""

@@ -18,6 +18,9 @@ from tidemark.sources import registry, releases, sinks
 APP = "desktop"
 FIRST, LAST = "2024-01-01", "2024-01-30"
 REGISTRY_FROM = "2023"
+#: Channels times systems, and those times the days: how many groups there can be.
+SERIES = len(config.SAMPLE_BOUNDS) * len(config.OSES)
+DAY_GROUPS = 30 * SERIES
 DISPLAY_BEFORE = "2024-01-31"
 
 CLIENTS_SQL = """

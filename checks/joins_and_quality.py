@@ -29,7 +29,7 @@ def matched(spark, sf_dir):
 
 @check("join_denominator", "SELECT submission_date, chan, os, dvers, vers, bid, n, total, share FROM shared")
 def _(spark, sf_dir):
-    return with_share(count_versions(sampled(spark, sf_dir)))
+    return with_share(count_versions(sampled(spark, sf_dir)), max_groups=fx.DAY_GROUPS)
 
 
 @check("join_release_date", """

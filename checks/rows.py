@@ -95,7 +95,7 @@ def _(spark, sf_dir):
 
 @check("prj_fold_rare", "SELECT * FROM folded")
 def _(spark, sf_dir):
-    return C.fold_rare(C.count_versions(sampled(spark, sf_dir)))
+    return C.fold_rare(C.count_versions(sampled(spark, sf_dir)), max_groups=fx.DAY_GROUPS)
 
 
 RELEASE_SQL = "category IN ('major', 'stability') AND date > DATE '2019-01-01' AND release_label NOT LIKE '%esr'"

@@ -145,3 +145,13 @@ def test_sharing_builds_across_display_versions_keeps_duplicates(spark, rows):
     data = [(START, "release", "Linux", d, "70.0", "20231230100000", 1) for d in ("70.0", "70.0rc")]
     got = K.adoption_curves(counts(spark, data), "2024-01-10")
     assert rows(got, "build_ids", "n") == [("20231230100000\n20231230100000", 2)]
+
+
+def test_the_curve_job_reads_its_counts_once(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    counts(spark, [(START, "release", "Linux", "70.0", "70.0", "20231230100000", 1)]).write.partitionBy("submission_date").parquet(path)
+    stored = spark.read.parquet(path)
+    for curves, scans in ((K.adoption_curves(stored, "2024-01-30"), 1), (K.daily_curves(stored, "2024-01-20", "2024-01-30"), 1)):
+        curves.collect()
+        plan = curves._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == scans and "ReusedExchange" in plan

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
+from checks.registered import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,14 +15,23 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1102
 
 
-@pytest.mark.parametrize("key", list(entry.queries()))
+@pytest.mark.parametrize("key, column", [
+    ("src_channel_builds", "is_major"), ("join_build_registry", "same_dv"), ("agg_match_rate", "n_true"), ("win_dedupe_last", None),
+    ("dq_min_days", None),
+])
+def test_the_data_reaches_both_branches(spark, key, column):
+    rows = entry.queries()[key](spark, "/root/testdata/sf0.01").collect()
+    assert rows and (column is None or len({bool(r[column]) for r in rows}) == 2)
+
+
+@pytest.mark.parametrize("key", list(QUERIES))
 def test_query_matches_sql(spark, con, key):
     frames = []
 

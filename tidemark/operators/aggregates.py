@@ -70,24 +70,20 @@ def version_share_of_day(counts: DataFrame, chan: str, os: str, more_than: float
 def current_against_other(daily: DataFrame, versions: Sequence[tuple[str, Day]], days: int = 10) -> DataFrame:
     """The first days of each listed version: its share of all clients, by day index.
 
-    Daily totals are at most one row per date. Each is repeated for the listed versions that had
-    started by then and matched to that version's own count.
+    One grouping by date sums everything and each listed version; the sums of the versions that had started
+    by then become rows.
     """
-    starts = F.array(
-        *[F.struct(F.lit(v).alias("vers"), F.lit(as_date(d)).alias("start")) for v, d in versions]
-    )
-    totals = daily.groupBy("submission_date").agg(F.sum("n").alias("all_n"))
-    targets = totals.withColumn(
-        "target", F.explode(F.filter(starts, lambda s: s["start"] <= F.col("submission_date")))
-    ).select("submission_date", "all_n", F.col("target.vers").alias("vers"))
-    own = daily.where(F.col("app_version").isin(*[v for v, _ in versions])).groupBy(
-        "submission_date", F.col("app_version").alias("vers")
-    ).agg(F.sum("n").alias("cur"))
+    own = [F.coalesce(F.sum(F.when(F.col("app_version") == v, F.col("n"))), F.lit(0)).alias(f"own_{i}") for i, (v, _) in enumerate(versions)]
+    sums = daily.groupBy("submission_date").agg(F.sum("n").alias("all_n"), *own)
+    listed = F.array(*[
+        F.struct(F.lit(v).alias("vers"), F.lit(as_date(d)).alias("start"), F.col(f"own_{i}").alias("cur"))
+        for i, (v, d) in enumerate(versions)
+    ])
+    started = F.filter(listed, lambda s: s["start"] <= F.col("submission_date"))
     in_order = W.partitionBy("vers").orderBy("submission_date")
     share = F.try_divide(F.col("cur"), F.col("all_n"))
     return (
-        targets.join(own, ["submission_date", "vers"], "left")
-        .withColumn("cur", F.coalesce("cur", F.lit(0)))
+        sums.select("submission_date", "all_n", F.inline(started))
         .withColumn("day", F.row_number().over(in_order) - 1)
         .where(F.col("day") < days)
         .select("vers", "submission_date", "day", "cur", "all_n", share.alias("perc"), F.round(share * 100, 1).alias("percent"))
@@ -105,15 +101,18 @@ def other_share(counts: DataFrame, chan: str) -> DataFrame:
     )
 
 
-def match_rate(rows: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    """Counts per key split by a flag, the percentage true and the share of everything."""
+def match_rate(rows: DataFrame, keys: Sequence[str], flag: str, counts: DataFrame | None = None) -> DataFrame:
+    """Counts per key split by a flag, the percentage true and the share of everything.
+
+    ``counts``: the rows before the join that gave the flag, to take the total from.
+    """
     split = rows.groupBy(*keys).agg(
         F.sum(F.when(F.col(flag), F.col("n")).otherwise(0)).alias("n_true"),
         F.sum(F.when(~F.col(flag), F.col("n")).otherwise(0)).alias("n_false"),
         F.sum("n").alias("tot"),
     )
     rated = split.withColumn("perc_true", F.round(F.try_divide("n_true", "tot") * 100, 2))
-    return with_grand_share(rated, "tot", "perc").withColumn("perc", F.round(F.col("perc") * 100, 2))
+    return with_grand_share(rated, "tot", "perc", counts, "n").withColumn("perc", F.round(F.col("perc") * 100, 2))
 
 
 def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
@@ -154,12 +153,15 @@ def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     )
 
 
-def top_mismatches(rows: DataFrame, chan: str, more_than: int) -> DataFrame:
-    """Builds of a channel above its smallest id that often disagree with the registry."""
+def top_mismatches(rows: DataFrame, chan: str, more_than: int, counts: DataFrame | None = None) -> DataFrame:
+    """Builds of a channel above its smallest id that often disagree with the registry.
+
+    ``counts``: the rows before the join that gave the flag, to take the smallest id from.
+    """
     of_channel = rows.where(F.col("chan") == chan)
-    marked = with_group(of_channel, ["chan"], min_bid=F.min("bid"))
+    smallest = (of_channel if counts is None else counts.where(F.col("chan") == chan)).agg(F.min("bid")).scalar()
     return (
-        marked.where((F.col("bid") > F.col("min_bid")) & ~F.col("same_dv"))
+        of_channel.where((F.col("bid") > smallest) & ~F.col("same_dv"))
         .groupBy("bid")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") > more_than)

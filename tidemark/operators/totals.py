@@ -66,7 +66,10 @@ def with_share(
     return with_total(df, keys, value, total, max_groups).withColumn(share, F.try_divide(F.col(value), F.col(total)))
 
 
-def with_grand_share(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Each row's share of the whole frame; the total is a scalar subquery."""
-    whole = df.agg(F.sum(value)).scalar()
+def with_grand_share(df: DataFrame, value: str, name: str, of: DataFrame | None = None, of_value: str | None = None) -> DataFrame:
+    """Each row's share of the whole frame; the total is a scalar subquery.
+
+    ``of`` names a frame with the same total (in ``of_value``) that is cheaper to sum, as the rows before a join.
+    """
+    whole = df.agg(F.sum(value)).scalar() if of is None else of.agg(F.sum(of_value or value)).scalar()
     return df.withColumn(name, F.try_divide(F.col(value), whole))

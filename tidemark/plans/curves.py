@@ -11,7 +11,6 @@ from tidemark import config, schemas
 from tidemark.functions import versions as V
 from tidemark.functions.builds import build_day, is_old_build
 from tidemark.functions.dates import as_date, days_before, days_between, days_since
-from tidemark.operators.aggregates import sum_by
 from tidemark.operators.filters import channel_window
 from tidemark.operators.joins import join_release_date
 from tidemark.operators.ranks import position_by
@@ -65,33 +64,50 @@ def unify_with_release_dates(counts: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def by_version(unified: DataFrame) -> DataFrame:
+    """(channel, os, vers, submission_date, entries): the counts of each version and day as one list.
+
+    The counts were folded, so a day has less than 1 / FOLD_SHARE of them per channel and system, and a list is
+    short. Versions, day totals and newest builds are all derived from this one aggregate: what they need is
+    in one column, so Spark cannot prune it differently for each, and they share its shuffle and scan.
+    """
+    return unified.groupBy(*CURVE_KEYS, "submission_date").agg(
+        F.collect_list(F.struct("bid", "n", "dvers", "vers")).alias("entries")
+    )
+
+
+def _clients() -> Column:
+    return F.aggregate("entries", F.lit(0).cast("long"), lambda total, e: total + e["n"])
+
+
 def collapse_builds(unified: DataFrame) -> DataFrame:
     """One row per version and day: its build ids as one sorted text, and its clients.
 
     ``top`` (the largest single count with its display version) is carried along so that nightly's
     display version needs no second aggregation.
     """
-    top = F.min(F.when(F.col("dvers").isNotNull(), F.struct((-F.col("n")).alias("neg_n"), "dvers")))
-    return (
-        unified.where(F.col("vers").isNotNull())
-        .groupBy(*CURVE_KEYS, "submission_date")
-        .agg(
-            F.array_join(F.array_sort(F.collect_list("bid")), "\n").alias("build_ids"),
-            F.min("bid").alias("min_build_id"),
-            F.sum("n").alias("n"),
-            top.alias("top"),
-        )
+    bids = F.filter(F.transform("entries", lambda e: e["bid"]), lambda b: b.isNotNull())
+    shown = F.filter("entries", lambda e: e["dvers"].isNotNull())
+    top = F.array_min(F.transform(shown, lambda e: F.struct((-e["n"]).alias("neg_n"), e["dvers"].alias("dvers"))))
+    # Asked of the list, not of the key: a filter on the key would move below the shared aggregate.
+    named = by_version(unified).where(F.col("entries")[0]["vers"].isNotNull())
+    return named.select(
+        *CURVE_KEYS,
+        "submission_date",
+        F.array_join(F.array_sort(bids), "\n").alias("build_ids"),
+        F.array_min(bids).alias("min_build_id"),
+        _clients().alias("n"),
+        top.alias("top"),
     )
 
 
 def with_denominator(collapsed: DataFrame, unified: DataFrame, days: int | None = None) -> DataFrame:
     """Adds the day's total (as largest and smallest, which must agree) and the share of it.
 
-    The total comes straight from the counts: a narrow read that shrinks before it shuffles. Rows
-    without a version count towards it but have no curve of their own. ``days`` bounds how many
+    Rows without a version count towards the total but have no curve of their own. ``days`` bounds how many
     dates the counts have, and with them the number of totals.
     """
-    totals = sum_by(unified, *DAY_KEYS).withColumnRenamed("n", "day_chan_os_sum")
+    totals = by_version(unified).groupBy(*DAY_KEYS).agg(F.sum(_clients()).alias("day_chan_os_sum"))
     return collapsed.join(bounded(totals, days and days * SERIES), list(DAY_KEYS)).withColumns(
         {
             "day_chan_os_sum_min": F.col("day_chan_os_sum"),
@@ -102,12 +118,13 @@ def with_denominator(collapsed: DataFrame, unified: DataFrame, days: int | None
 
 def _newest() -> Column:
     """The version with the greatest build id, as a (bid, vers) pair."""
-    return F.max(F.when(F.col("bid").isNotNull(), F.struct("bid", "vers")))
+    built = F.filter("entries", lambda e: e["bid"].isNotNull())
+    return F.max(F.array_max(F.transform(built, lambda e: F.struct(e["bid"].alias("bid"), e["vers"].alias("vers")))))
 
 
 def with_latest_flag(collapsed: DataFrame, unified: DataFrame) -> DataFrame:
     """Marks the version that has the greatest build id of its channel and system."""
-    newest = unified.groupBy("channel", "os").agg(_newest().alias("newest"))
+    newest = by_version(unified).groupBy("channel", "os").agg(_newest().alias("newest"))
     return _flag_latest(collapsed.join(bounded(newest, SERIES), ["channel", "os"]))
 
 
@@ -209,7 +226,7 @@ def daily_curves(
     window = between_days(counts, days_before(first, lookback_days), last)
     unified = unify_channels(window)
     # Newest build per day first, then up to each day: one row per day, channel and system.
-    per_day = unified.groupBy(*DAY_KEYS).agg(_newest().alias("newest_of_day"))
+    per_day = by_version(unified).groupBy(*DAY_KEYS).agg(_newest().alias("newest_of_day"))
     newest = per_day.select(
         "channel",
         "os",
