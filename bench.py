@@ -7,6 +7,7 @@ import time
 
 from checks import fixtures as fx
 from tidemark.plans import jobs, serve
+from tidemark.plans.counts import version_counts
 from tidemark.plans.curves import adoption_curves, backfill_curves
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import registry, tables
@@ -20,6 +21,14 @@ def consume(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def stored_clients(spark):
+    """The client days as a job finds them: stored by date, in several files a date."""
+    def write(path):
+        fx.clients(spark, SF_DIR).repartition(2 * int(CPUS)).write.partitionBy("submission_date").parquet(path)
+
+    return spark.read.parquet(fx.stored(spark, SF_DIR, "clients", write))
+
+
 def pipeline(spark) -> None:
     """All three steps, handing over through tables on disk."""
     counts, curves, feed = (scratch_path(spark, name) for name in ("counts", "curves", "feed"))
@@ -30,6 +39,7 @@ def pipeline(spark) -> None:
 
 QUERIES = {
     "counts_job": lambda s: consume(fx.fresh_counts(s, SF_DIR)),
+    "counts_job_stored": lambda s: consume(version_counts(stored_clients(s), fx.FIRST, fx.LAST, fx.APP)),
     "curve_job": lambda s: consume(adoption_curves(fx.counts(s, SF_DIR), fx.LAST)),
     "backfill_10_days": lambda s: consume(backfill_curves(fx.counts(s, SF_DIR), "2024-01-20", fx.LAST)),
     "serve_top_n": lambda s: consume(serve.chart_feed(fx.curves(s, SF_DIR), fx.DISPLAY_BEFORE)),
