@@ -6,13 +6,14 @@ from checks import fixtures as fx
 from checks.registered import check
 from checks.rows import sampled
 from checks.sql import rounded
+from tidemark import schemas
 from tidemark.operators import joins as J
 from tidemark.operators import quality as Q
 from tidemark.operators.totals import with_share
 from tidemark.plans import curves as K
 from tidemark.plans import serve
 from tidemark.plans.counts import count_versions
-from tidemark.sources import registry
+from tidemark.sources import registry, releases
 
 CURVE_KEYS = ["channel", "os", "vers", "submission_date"]
 COUNT_KEYS = ["submission_date", "chan", "os", "dvers", "vers", "bid", "n"]
@@ -213,3 +214,19 @@ UNION ALL SELECT *, 'second' FROM (SELECT * FROM test_counts EXCEPT ALL SELECT *
 """)
 def _(spark, sf_dir):
     return Q.value_differences(fx.counts(spark, sf_dir), fx.test_counts(spark, sf_dir))
+
+
+@check("dq_unreadable_documents", """
+SELECT NULL::VARCHAR AS label, 'document' AS problem FROM (
+  SELECT DISTINCT chan, CAST(split_part(version, '.', 1) AS INTEGER) AS major FROM release_list
+  WHERE chan <> 'beta' OR contains(version, 'b')
+) WHERE major % 7 = 0
+UNION ALL SELECT release_label, 'date' FROM releases WHERE version LIKE '60.%'
+""")
+def _(spark, sf_dir):
+    """Release documents of which some are cut short and some hold text in place of a date."""
+    documents = fx.release_documents(spark, sf_dir)
+    major = F.regexp_extract("json", r'"app-(\d+)\.', 1).cast("int")
+    undated = F.replace("json", F.lit("2017-11-14"), F.lit("soon"))
+    broken = documents.select(F.when(major % 7 == 0, F.substring("json", 1, 40)).otherwise(undated).alias("json"))
+    return releases.unreadable_documents(broken, schemas.PRODUCT_RELEASES, "date").select("label", "problem")
