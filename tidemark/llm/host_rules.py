@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.staging import stage
 from tidemark.llm.words import texts, words
 
 MIN_WORDS = 10
@@ -74,8 +75,11 @@ def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
     chance gives (method of moments, hosts weighted by their documents). Without such spread, or with one
     host, every host gets the corpus rate. All documents without a host form one host, null.
     """
-    hosts = judged.groupBy(F.col(host).alias("host")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.col(failed).cast("long")).alias("n_failed")
+    hosts = stage(
+        judged.groupBy(F.col(host).alias("host")).agg(
+            F.count(F.lit(1)).alias("n_docs"), F.sum(F.col(failed).cast("long")).alias("n_failed")
+        ),
+        "hosts",
     )
     n, k = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
     total = hosts.agg(
