@@ -28,6 +28,8 @@ TREES = 12
 LEAF, LEAF_SAMPLE, SAMPLE = 200, 6, 50_000
 #: Sampled vectors whose neighbours set the number of leaves to read, and the share of them to be found.
 TRIALS, RECALL = 100, 0.96
+#: Answers that a task combines before it hands them on.
+COMBINED = 1_000_000
 
 
 class Forest:
@@ -101,6 +103,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _nearest(made: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """(query, point, score) rows with each pair once and the ``k`` nearest points of each query."""
+    query, point, score = (np.concatenate(x) for x in zip(*made))
+    order = np.lexsort((point, score, query))
+    query, point, score = query[order], point[order], score[order]
+    new = np.ones(len(query), bool)
+    new[1:] = (query[1:] != query[:-1]) | (point[1:] != point[:-1])
+    query, point, score = query[new], point[new], score[new]
+    first = np.ones(len(query), bool)
+    first[1:] = query[1:] != query[:-1]
+    starts = np.flatnonzero(first)
+    near = np.arange(len(query)) - np.repeat(starts, np.diff(np.append(starts, len(query)))) < k
+    return query[near], point[near], score[near]
+
+
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, v) of the rows that take part, stored."""
     v = F.col(embedding)
@@ -147,8 +164,17 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 10, vec_id: str = "v
         return rows
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The k + 1 nearest vectors of a leaf to each query that reads it; a leaf's vectors come first."""
+        """The k + 1 nearest vectors to each query among the leaves of a task; a leaf's vectors come before its readers.
+
+        Leaves are combined here, before the shuffle: a query that reads many leaves of a task gets k + 1 rows.
+        """
         at, ids, held = None, [], []
+        made: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def answer(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["query_id", "point", "score"])
+
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
             if not len(keys):
@@ -170,11 +196,16 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 10, vec_id: str = "v
                 near = np.concatenate([np.sqrt(np.square(against - q).sum(axis=1))[None] for q in vectors.astype(np.float64)])
                 # Ties go to the smaller id: points stand in that order.
                 best = np.argsort(near, axis=1, kind="stable")[:, : k + 1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(part, best.shape[1])), pa.array(points[best].ravel()),
-                     pa.array(np.take_along_axis(near, best, axis=1).ravel())],
-                    names=["query_id", "point", "score"],
-                )
+                made.append((np.repeat(part, best.shape[1]), points[best].ravel(), np.take_along_axis(near, best, axis=1).ravel()))
+                size += best.size
+                if size > COMBINED:
+                    made = [_nearest(made, k + 1)]
+                    size = len(made[0][0])
+                    if size > COMBINED // 2:  # too many queries to hold: hand on what there is
+                        yield answer(made[0])
+                        made, size = [], 0
+        if made:
+            yield answer(_nearest(made, k + 1))
 
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v").distinct()
     kind = rows.schema["v"].dataType.simpleString()
