@@ -144,5 +144,15 @@ def place(pieces: DataFrame, window: int) -> DataFrame:
     )
 
 
+@F.arrow_udf(T.LongType())
+def checksums(ids: pa.Array) -> pa.Array:
+    """CRC-32 of each list of ids, as unsigned little-endian numbers of 32 bits."""
+    flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+    ends = np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+    return pa.array([zlib.crc32(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.int64())
+
+
 def pack(docs: DataFrame, vocabulary: str, end: int, window: int = 4096, **columns: str) -> DataFrame:
-    return place(stage(cut(docs, vocabulary, end, window, **columns), "pieces"), window)
+    """The pieces with their ids, sequence_id and offset; ids_crc32 is taken from the packed ids."""
+    placed = place(stage(cut(docs, vocabulary, end, window, with_ids=True, **columns), "pieces"), window)
+    return placed.withColumn("ids_crc32", checksums("ids"))
