@@ -48,12 +48,13 @@ NEXT, SAME_PARENT = 2, 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object)\b[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe)(?=[\s/>])[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][\w:-]*)(?P<attributes2>[^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+_SVG = re.compile(r"<(?P<end>/?)svg(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>", re.I)
 _NAMED = re.compile(r"""(?<![\w-])(class|id|role|style|hidden)(?![\w-])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -92,12 +93,25 @@ def standing_of(tag: str, attributes: str, outer: int, in_article: bool) -> int:
     return outer
 
 
+def svg_ends(page: str) -> dict[int, int]:
+    """Where svg elements end, by where their first tags do; those without an end tag are not in it."""
+    opened, ends = [], {}
+    for tag in _SVG.finditer(page):
+        if tag["end"]:
+            if opened:
+                ends[opened.pop()] = tag.end()
+        elif not tag[0].endswith("/>"):
+            opened.append(tag.end())
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order. Scripts, styles, comments and titles hold no text of it."""
+    """The text blocks of a page in order. Scripts, styles, comments, titles and drawings hold no text of it."""
     found: list[Block] = []
     # Open elements: (tag, number, standing, within an article, within a link).
     stack: list[tuple[str, int, int, bool, bool]] = [("", 0, 0, False, False)]
     current, number, at = None, 0, 0
+    drawings: dict[int, int] | None = None
 
     def close(down_to: int) -> None:
         del stack[max(1, down_to):]
@@ -110,19 +124,23 @@ def blocks(page: str) -> list[Block]:
                 return 0
         return 0
 
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         if token.start() > at:
             current = _text(page[at:token.start()], current, stack, found)
         at = token.end()
         tag = (token["tag"] or token["tag2"] or "").lower()
         if not tag:
             continue
+        if tag == "svg" and not (token["end"] or token["end2"]):
+            drawings = svg_ends(page) if drawings is None else drawings
+            at = drawings.get(at, at)
+            continue
         if tag in BLOCKS:
             current = None
         if token["end"] or token["end2"]:
             if place := innermost((tag,)):
                 close(place)
-        elif tag not in VOID:
+        elif tag not in VOID and not (tag == "math" and token[0].endswith("/>")):
             if tag in CLOSES_P and (place := innermost(("p",), ("td", "th", "button", "li", "div", "article", "section"))):
                 close(place)
             if tag in SIBLINGS and (place := innermost(tuple(SIBLINGS[tag].split()), ("ul", "ol", "dl", "table", "select"))):
