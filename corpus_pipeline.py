@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_cnn, host_rules, near_copies, packing, passages
+from tidemark.llm import byte_cnn, host_rules, packing, passages, simhash
 from tidemark.llm.staging import stage
 
 END = 2
@@ -32,8 +32,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, Jaccard similarity of 0.8 at least."""
-    return near_copies.one_of_each(docs)
+    """One document of each group of near-duplicates: fingerprints of three-word shingles within two bits."""
+    return simhash.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
