@@ -44,8 +44,7 @@ def test_plan_places_every_rest():
 def test_pieces(spark, documents, nothing):
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
-    got = P.pack(documents, vocabulary, 2, window=128).collect()
+    got = P.with_checksums(P.pack(documents, vocabulary, 2, window=128)).collect()
     want = defaultdict(int)
     for doc_id, text in documents.select("doc_id", "text").collect():
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -66,5 +65,24 @@ def test_pieces(spark, documents, nothing):
         assert ends <= 128
     assert sorted(of) == list(range(len(of)))
     assert P.pack(nothing, vocabulary, 2).isEmpty()
-    with_ids = P.cut(documents, vocabulary, 2, 128, with_ids=True).collect()
-    assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in with_ids)
+
+
+def test_numbers_go_on_from_batch_to_batch():
+    rng = random.Random(3)
+    used, seen = np.zeros(21, np.int64), defaultdict(int)
+    for _ in range(5):
+        length = np.array([rng.randint(1, 20) for _ in range(rng.randint(0, 60))], np.int64)
+        want = []
+        for x in length.tolist():
+            want.append(seen[x])
+            seen[x] += 1
+        assert P.numbered(length, used).tolist() == want
+    assert {x: n for x, n in enumerate(used.tolist()) if n} == dict(seen)
+
+
+def test_repeated_rows_of_one_length(spark):
+    """A third of all rows alike: they are numbered in every task, and each gets its own place."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.range(3000).selectExpr("id % 7 as doc_id", "if(id % 3 = 0, 'one two', concat('w', id, ' three')) as text").repartition(6)
+    got = P.pack(docs, vocabulary, 2, window=64).collect()
+    assert len(got) == 3000 and len({(r.sequence_id, r.offset) for r in got}) == 3000

@@ -54,11 +54,24 @@ def test_forest_joins_what_near_pairs_join(n, bits, seed):
 
 def test_any_two_near_codes_share_a_pattern():
     rng = random.Random(6)
-    assert all(64 - int(m).bit_count() <= 22 for m in M.PATTERNS)
+    assert all(64 - int(m).bit_count() <= 22 for m in M.patterns())
     for _ in range(500):
         a = rng.getrandbits(64)
         b = a ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64)
-        assert any(a & int(m) == b & int(m) for m in M.PATTERNS)
+        assert any(a & int(m) == b & int(m) for m in M.patterns())
+
+
+def test_other_lengths_and_distances(spark):
+    codes = near_codes(random.Random(9), 200, 64)
+    links = M.fingerprint_links(spark.createDataFrame([(c - (c >> 63 << 64),) for c in codes], "fp long"), max_bits=3).collect()
+    group = {c: c for c in codes}
+    for a, b in links:
+        a, b = a & (1 << 64) - 1, b & (1 << 64) - 1
+        low, high = sorted((group[a], group[b]))
+        group = {c: low if g == high else g for c, g in group.items()}
+    want = plain_groups(codes, 3)
+    assert [codes.index(group[c]) for c in codes] == want
+    assert M.fingerprint(b"one two three four", 4) != M.fingerprint(b"one two three four", 3)
 
 
 def test_gray_neighbours_differ_in_one_bit():

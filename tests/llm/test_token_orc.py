@@ -21,7 +21,6 @@ PARTS = [
 
 def whole(vocabulary: str):
     tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text, add_special_tokens=False).ids, END]
 
 

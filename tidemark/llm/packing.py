@@ -5,7 +5,7 @@ matters, a table with at most as many rows as a window has tokens. Windows are p
 other: the longest rest left must go in, and a subset-sum over bits finds the multiset of the others that
 fills the window closest to its end. A filling is used as often as the counts allow, so the number of
 fillings has a bound that depends on the window and not on the corpus. Rests then take their places by
-their rank among rests of the same length.
+their rank among rests of the same length, counted while they are cut.
 """
 
 import zlib
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,15 +23,19 @@ from pyspark.sql.window import Window
 from tidemark.llm.staging import stage
 from tidemark.llm.tokens import encoder
 
-PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE = "doc_id long, start long, length long, doc_tokens long, part int, nth long, ids array<int>"
 
 
-def cut(docs: DataFrame, vocabulary: str, end: int, window: int, doc_id: str = "doc_id", text: str = "text",
-        with_ids: bool = False) -> DataFrame:
-    """One row per piece of at most ``window`` ids of each text (null: empty) with ``end`` added."""
+def cut(docs: DataFrame, vocabulary: str, end: int, window: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per piece of at most ``window`` ids of each text (null: empty) with ``end`` added.
+
+    ``part`` is the task that cut the piece and ``nth`` its number among that task's pieces of the same length. Rows with the
+    same id, or the same row twice, are different documents, each with pieces of its own.
+    """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, end).encode
+        part, used = TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
         for batch in batches:
             ids_of = batch.column(0)
             for first, ids, counts in encode(batch.column(1).fill_null("").to_pylist()):
@@ -40,19 +45,27 @@ def cut(docs: DataFrame, vocabulary: str, end: int, window: int, doc_id: str = "
                 start = (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)) * window
                 length = np.minimum(counts[of] - start, window)
                 at = (ends - counts)[of] + start
-                raw = ids.astype("<u4")
-                sums = [zlib.crc32(raw[a:a + m]) for a, m in zip(at.tolist(), length.tolist())]
-                out = [ids_of.slice(first, len(counts)).cast(pa.int64()).take(pa.array(of)), pa.array(start, pa.int64()),
-                       pa.array(length, pa.int64()), pa.array(sums, pa.int64()), pa.array(counts[of], pa.int64())]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-                if with_ids:
-                    offsets = pa.array(np.concatenate((at, ends[-1:])), pa.int32())
-                    out.append(pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(out, names=names)
+                offsets = pa.array(np.concatenate((at, ends[-1:])), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [ids_of.slice(first, len(counts)).cast(pa.int64()).take(pa.array(of)), pa.array(start, pa.int64()),
+                     pa.array(length, pa.int64()), pa.array(counts[of], pa.int64()), pa.array(np.full(len(of), part), pa.int32()),
+                     pa.array(numbered(length, used), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))],
+                    names=["doc_id", "start", "length", "doc_tokens", "part", "nth", "ids"],
+                )
 
     columns = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return columns.mapInArrow(pieces, PIECE + (", ids array<int>" if with_ids else ""))
+    return columns.mapInArrow(pieces, PIECE)
+
+
+def numbered(length: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Numbers equal lengths one after the other, from ``used`` on, which moves on by them."""
+    order = np.argsort(length, kind="stable")
+    sizes = np.bincount(length, minlength=len(used))
+    nth = np.empty(len(length), np.int64)
+    nth[order] = np.arange(len(length)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    nth += used[length]
+    used += sizes
+    return nth
 
 
 def fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -113,14 +126,14 @@ def places(made: list[tuple[dict[int, int], int]]) -> np.ndarray:
 def place(pieces: DataFrame, window: int) -> DataFrame:
     """Adds sequence_id and offset to stored pieces.
 
-    Ranks within a length are counted in salted parts, so a length that a third of the pieces have is
-    numbered by many tasks.
+    A piece's rank among all of its length is its number in its part plus the pieces of that length in earlier parts. So
+    only counts by part and length are ranked, one row each, and no length is ever gathered in one task. The ids themselves
+    move only where these counts are too many to be sent to every task: Spark decides by their measured size.
     """
-    spark = pieces.sparkSession
-    salts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
-    parts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one per length
+    parts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stage(parts.select("part", "length", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")), "starts")
+    counts = {r["length"]: r["n"] for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one per length
     table = places(plan(counts, window))
     keys = table[:, 0] << 44 | table[:, 1]
 
@@ -134,13 +147,10 @@ def place(pieces: DataFrame, window: int) -> DataFrame:
             names=["sequence_id", "offset"],
         )
 
-    earlier = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("length", "_salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy("length", "_salt").orderBy("doc_id", "start", "ids_crc32")
-    ranked = salted.withColumn("_nth", F.row_number().over(inside) - 1).join(starts, ["length", "_salt"])
+    ranked = pieces.join(starts.select("part", "length", "first"), ["part", "length"])
     return (
-        ranked.withColumn("_at", located("length", F.col("_first") + F.col("_nth")))
-        .select(*pieces.columns, F.col("_at.sequence_id").alias("sequence_id"), F.col("_at.offset").alias("offset"))
+        ranked.withColumn("_at", located("length", F.col("first") + F.col("nth")))
+        .select("doc_id", "start", "length", "doc_tokens", "ids", F.col("_at.sequence_id").alias("sequence_id"), F.col("_at.offset").alias("offset"))
     )
 
 
@@ -153,6 +163,13 @@ def checksums(ids: pa.Array) -> pa.Array:
 
 
 def pack(docs: DataFrame, vocabulary: str, end: int, window: int = 4096, **columns: str) -> DataFrame:
-    """The pieces with their ids, sequence_id and offset; ids_crc32 is taken from the packed ids."""
-    placed = place(stage(cut(docs, vocabulary, end, window, with_ids=True, **columns), "pieces"), window)
-    return placed.withColumn("ids_crc32", checksums("ids"))
+    """(doc_id, start, length, doc_tokens, ids, sequence_id, offset): the pieces with their ids and places.
+
+    Repeated rows are packed as often as they occur; an empty table gives no rows.
+    """
+    return place(stage(cut(docs, vocabulary, end, window, **columns), "pieces"), window)
+
+
+def with_checksums(packed: DataFrame) -> DataFrame:
+    """Adds ids_crc32, taken from the packed ids."""
+    return packed.withColumn("ids_crc32", checksums("ids"))

@@ -62,9 +62,7 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
-    return stage(packed.drop("ids_crc32"), "packed").select(
-        "doc_id", "start", "length", packing.checksums("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    return packing.with_checksums(packed).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Query] = {

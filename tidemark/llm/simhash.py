@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +29,11 @@ LEAF = 16
 
 _CUTS = (0, 11, 22, 33, 44, 54, 64)
 _BLOCKS = [sum(1 << bit for bit in range(a, b)) for a, b in itertools.pairwise(_CUTS)]
-#: Masks of the bits a pattern shares: all blocks but two. With k differing bits allowed, all but k.
-PATTERNS = np.array(
-    [sum(_BLOCKS) - sum(out) for out in itertools.combinations(_BLOCKS, MAX_BITS)], dtype=np.uint64
-)
+
+
+def patterns(max_bits: int = MAX_BITS) -> np.ndarray:
+    """Masks of the bits a pattern shares: all blocks but as many as bits may differ (five at most)."""
+    return np.array([sum(_BLOCKS) - sum(out) for out in itertools.combinations(_BLOCKS, max_bits)], dtype=np.uint64)
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -56,10 +57,12 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf(T.LongType())
-def fingerprints(text: pa.Array) -> pa.Array:
-    found = np.array([fingerprint(t) for t in texts(text)], dtype=np.uint64)
-    return pa.array(found.view(np.int64), pa.int64())
+def fingerprints(text: str, shingle: int = SHINGLE) -> Column:
+    @F.arrow_udf(T.LongType())
+    def found(column: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t, shingle) for t in texts(column)], dtype=np.uint64).view(np.int64), pa.int64())
+
+    return found(text)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -133,18 +136,19 @@ def links_within(codes: np.ndarray, max_bits: int = MAX_BITS) -> list[tuple[int,
     return found
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
     """Links inside each run of rows with the same pattern; rows come sorted by pattern."""
+    masks = patterns(max_bits)
     held: tuple | None = None
 
     def emit(mask_no: np.ndarray, codes: np.ndarray) -> tuple[list[int], list[int]]:
         a, b = [], []
-        shared = codes & PATTERNS[mask_no]
+        shared = codes & masks[mask_no]
         cut = np.flatnonzero((np.diff(mask_no) != 0) | (np.diff(shared) != 0)) + 1
         starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(codes)]))
         for lo, hi in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
             group = codes[lo:hi]
-            for i, j in links_within(group):
+            for i, j in links_within(group, max_bits):
                 a.append(int(group[i].astype(np.int64)))
                 b.append(int(group[j].astype(np.int64)))
         return a, b
@@ -160,7 +164,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(codes):
             continue
         # The last group may go on in the next batch.
-        shared = codes & PATTERNS[mask_no]
+        shared = codes & masks[mask_no]
         last = (mask_no == mask_no[-1]) & (shared == shared[-1])
         keep = len(codes) - int(np.argmin(last[::-1])) if not last.all() else 0
         held = mask_no[keep:], codes[keep:]
@@ -170,37 +174,37 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(emit(*held))
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): links that join all fingerprints of ``distinct`` (fp) which a chain of near pairs joins."""
-    masks = F.array(*[F.lit(int(m.astype(np.int64))) for m in PATTERNS])
+    masks = F.array(*[F.lit(int(m.astype(np.int64))) for m in patterns(max_bits)])
     spread = distinct.select("fp", F.posexplode(masks).alias("pattern", "mask")).select(
         "fp", "pattern", F.col("fp").bitwiseAND(F.col("mask")).alias("shared")
     )
     return (
         spread.repartition("pattern", "shared")
         .sortWithinPartitions("pattern", "shared")
-        .mapInArrow(_linked, "a long, b long")
+        .mapInArrow(lambda batches: _linked(batches, max_bits), "a long, b long")
     )
 
 
-def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) of every row, written once; null and empty texts have fingerprint 0."""
-    return stage(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(text).alias("fp")), "fingerprints")
+    return stage(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(text, shingle).alias("fp")), "fingerprints")
 
 
-def groups(marked: DataFrame) -> DataFrame:
+def groups(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, group) of every fingerprint of ``marked``: the least fingerprint, as a long, that near pairs lead to."""
     each = marked.select("fp").distinct()
-    nodes = connected_components(fingerprint_links(each)).select(F.col("node").alias("fp"), "component")
+    nodes = connected_components(fingerprint_links(each, max_bits)).select(F.col("node").alias("fp"), "component")
     return each.join(nodes, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"))
 
 
-def near_duplicates(marked: DataFrame) -> DataFrame:
+def near_duplicates(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Adds component_id to (doc_id, fp): the least doc_id that near pairs lead to, its own included.
 
     Rows of a group whose ids are all null get null.
     """
-    of = stage(groups(marked), "groups")
+    of = stage(groups(marked, max_bits), "groups")
     folded = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     least = folded.join(of, "fp").groupBy("group").agg(F.min("least").alias("component_id"))
     # Written out, so that both sides of the join with the rows are plain and a hot fingerprint can be split.
@@ -208,18 +212,18 @@ def near_duplicates(marked: DataFrame) -> DataFrame:
     return marked.join(named, "fp")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with one row left of each group of near-duplicates: the one with the least id.
 
     Rows without an id come last; of rows with the same id any one stays.
     """
     rows = stage(
         docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("n"),
-                    fingerprints(text).alias("fp")),
+                    fingerprints(text, shingle).alias("fp")),
         "fingerprinted",
     )
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "n")
     # The best row of each fingerprint first, then of each group: no group of rows meets in one place.
     folded = rows.groupBy("fp").agg(F.min(order).alias("best"))
-    kept = folded.join(groups(rows), "fp").groupBy("group").agg(F.min("best").alias("best")).select(F.col("best.n").alias("n"))
+    kept = folded.join(groups(rows, max_bits), "fp").groupBy("group").agg(F.min("best").alias("best")).select(F.col("best.n").alias("n"))
     return rows.join(kept, "n", "left_semi").select("row.*")

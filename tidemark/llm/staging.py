@@ -19,13 +19,15 @@ def stage_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Writes ``df`` as Parquet and reads it back, so that no lost executor makes later steps start over.
 
-    The shuffle files behind a written table are of no more use; Spark is told to drop them.
+    The shuffle files behind a written table are of no more use; Spark is told to drop them, from the first stage on.
     """
     spark, path = df.sparkSession, stage_path(df.sparkSession, name)
-    before = spark.conf.get(FREE_SHUFFLES)
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
-        df.write.partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set(FREE_SHUFFLES, before)
+    free_shuffles(spark)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Set once for the session: shuffle files go when the query that made them has been written."""
+    if spark.conf.get(FREE_SHUFFLES) != "true":
+        spark.conf.set(FREE_SHUFFLES, "true")

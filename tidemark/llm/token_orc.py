@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.staging import FREE_SHUFFLES
+from tidemark.llm.staging import free_shuffles
 from tidemark.llm.tokens import encoder
 
 SCHEMA = "shard int, doc_id long, start_in_shard long, n_tokens long, tokens array<int>"
@@ -64,13 +64,8 @@ def write_tokens(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     )
-    spark = docs.sparkSession
-    before = spark.conf.get(FREE_SHUFFLES)
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
-        ordered.mapInArrow(encoded, SCHEMA).write.options(**OPTIONS).mode("overwrite" if overwrite else "error").orc(path)
-    finally:
-        spark.conf.set(FREE_SHUFFLES, before)
+    free_shuffles(docs.sparkSession)
+    ordered.mapInArrow(encoded, SCHEMA).write.options(**OPTIONS).mode("overwrite" if overwrite else "error").orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -3,8 +3,9 @@
 Byte-pair merges never reach across the vocabulary's own pre-tokens, and no pre-token of the vocabularies
 used here holds something else followed by white space, or a letter followed by another kind of character.
 So a text may be cut before any space or line feed that follows something else and behind Latin letters,
-its stretches encoded on their own and the ids strung together. The exception is a stretch that ends in
-other white space, which may belong to the next one: then the whole text is encoded as it is.
+its stretches encoded on their own and the ids strung together. There are two exceptions, in which the whole text is
+encoded as it is: a stretch that ends in other white space, which may belong to the next one, and a text that spells one
+of the vocabulary's special tokens, which the library finds first and gives its own id.
 """
 
 import os
@@ -21,6 +22,8 @@ _STRETCH = re.compile(r"[ \n]*(?:[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]++(?=[!
 KEPT = 400_000
 #: Characters encoded together.
 BLOCK = 2_000_000
+#: Stretches strung together for the library.
+_TOGETHER = 24
 
 
 class _Places(dict):
@@ -62,6 +65,13 @@ class StretchEncoder:
         """Whether what follows may change the stretch's ids."""
         return False
 
+    def _uncut(self, text: str) -> bool:
+        """Whether a text must be encoded as a whole."""
+        return False
+
+    def _whole(self, text: str) -> np.ndarray:
+        return self._encode([text])[0]
+
     def _learn(self, new: list[str]) -> None:
         ids, sizes = self._encode(new)
         ends = np.cumsum(sizes) + len(self._ids)
@@ -78,13 +88,16 @@ class StretchEncoder:
         self._ids = self._ids[: self._starts[-1] + self._sizes[-1]] if n else self._ids[:0]
 
     def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        cut = [self._cut(text) for text in texts]
+        uncut = {i for i, text in enumerate(texts) if self._uncut(text)}
+        cut = [self._cut(text) if i not in uncut else [] for i, text in enumerate(texts)]
         place = self._place.__getitem__
         places = [np.fromiter(map(place, stretches), np.int64, len(stretches)) for stretches in cut]
         new, self._place.new = self._place.new, []
         self._learn(new)
         self._odd.update(filter(self._depends, new))
-        whole = [i for i, stretches in enumerate(cut) if not self._odd.isdisjoint(stretches)] if self._odd else []
+        whole = set(uncut)
+        if self._odd:
+            whole.update(i for i, stretches in enumerate(cut) if not self._odd.isdisjoint(stretches))
         for i in whole:
             places[i] = places[i][:0]
         counts = np.array([self._sizes[p].sum() for p in places], np.int64)
@@ -95,7 +108,7 @@ class StretchEncoder:
         if whole:
             parts = np.split(ids, np.cumsum(counts)[:-1])
             for i in whole:
-                parts[i], _ = self._encode([texts[i]])
+                parts[i] = self._whole(texts[i])
                 counts[i] = len(parts[i])
             ids = np.concatenate(parts)
         self._forget(new)
@@ -114,7 +127,11 @@ class StretchEncoder:
 
 
 class Encoder(StretchEncoder):
-    """Ids by a file of the ``tokenizers`` library."""
+    """Ids by a file of the ``tokenizers`` library, as a plain call with ``add_special_tokens=False`` gives them.
+
+    Stretches are encoded many at a time with a special token between them: the library cuts a text there
+    before anything else, so each stretch is encoded on its own, and the token's id says where it ends.
+    """
 
     def __init__(self, vocabulary: str, end: int, kept: int = KEPT):
         super().__init__(end, kept)
@@ -122,13 +139,27 @@ class Encoder(StretchEncoder):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True  # their spellings in a text are ordinary text
         self._cut = _STRETCH.findall
+        added = self._tokenizer.get_added_tokens_decoder()
+        self._special = re.compile("|".join(re.escape(t.content) for t in added.values())) if added else None
+        plain = [(i, t.content) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self._between = plain[0] if plain else None
+
+    def _uncut(self, text: str) -> bool:
+        return self._special is not None and self._special.search(text) is not None
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
     def _encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum())), sizes
+        if self._between is None:
+            found = [self._whole(s) for s in stretches]
+            return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(f) for f in found], np.int64)
+        mark, between = self._between
+        joined = [between.join([*stretches[i:i + _TOGETHER], ""]) for i in range(0, len(stretches), _TOGETHER)]
+        found = self._tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.int32), *(np.array(e.ids, np.int32) for e in found)])
+        return ids[ids != mark], np.diff(np.flatnonzero(ids == mark), prepend=-1) - 1
 
     def _depends(self, stretch: str) -> bool:
         return stretch[-1].isspace() and stretch[-1] not in " \n"
