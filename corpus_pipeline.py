@@ -33,7 +33,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: fingerprints of three-word shingles within two bits."""
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, shingle=3, max_bits=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids, packed into sequences of at most 4096."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END)
+    return packing.with_checksums(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END))
 
 
 STAGES = [

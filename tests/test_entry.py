@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+import __spark_entry__  # noqa: F401 (fills QUERIES)
 from checks.registered import QUERIES
 
 ROOT = Path(__file__).resolve().parent.parent
