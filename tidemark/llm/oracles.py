@@ -41,6 +41,50 @@ SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_wor
 FROM judged JOIN rates ON source IS NOT DISTINCT FROM host
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), grams AS (
+  SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w
+), f AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS n FROM grams GROUP BY ALL
+), found AS (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1 AND n >= 10
+), cuts AS (
+  SELECT lang, k, phrase, a, 1 AS cut, p[1] AS head, array_to_string(p[2:], ' ') AS rest FROM found
+  UNION ALL
+  SELECT lang, k, phrase, a, 2, p[1] || ' ' || p[2], p[3] FROM found WHERE k = 3
+), scored AS (
+  SELECT c.*, h.n AS l, r.n AS r, 1000000::HUGEINT * a * a // (h.n * r.n) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), covers AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, p[1] || ' ' || p[2] AS phrase, a FROM found WHERE k = 3
+    UNION ALL
+    SELECT lang, p[2] || ' ' || p[3], a FROM found WHERE k = 3
+  ) GROUP BY ALL
+), kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN covers USING (lang, phrase) WHERE k = 3 OR most IS NULL OR 100 * most < 50 * a
+), totals AS (
+  SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op8_host_rules": HOST_RULES,
+    "op11_weighted_automata": COLLOCATIONS,
 }

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_cnn, host_rules, main_text, packing, passages, periodic, pieces, rp_forest, simhash, slots, token_orc
+from tidemark.llm import (
+    byte_cnn, collocations, host_rules, main_text, packing, passages, periodic, pieces, rp_forest, simhash, slots, token_orc,
+)
 from tidemark.llm.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +67,10 @@ def op10_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_checksums(packed).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_weighted_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
 
@@ -80,5 +86,6 @@ QUERIES: dict[str, Query] = {
     "op8_host_rules": op8_host_rules,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_bin_slack": op10_bin_slack,
+    "op11_weighted_automata": op11_weighted_automata,
     "op13_recompression": op13_recompression,
 }
