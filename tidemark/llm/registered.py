@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    byte_cnn, collocations, host_rules, main_text, packing, passages, periodic, pieces, rp_forest, simhash, slots, token_orc,
+    byte_cnn, byte_repeats, collocations, host_rules, main_text, packing, passages, periodic, pieces, rp_forest, simhash, slots, token_orc,
 )
 from tidemark.llm.staging import stage, stage_path
 
@@ -71,6 +71,10 @@ def op11_weighted_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_column_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
 
@@ -87,5 +91,6 @@ QUERIES: dict[str, Query] = {
     "op9_virtual_slots": op9_virtual_slots,
     "op10_bin_slack": op10_bin_slack,
     "op11_weighted_automata": op11_weighted_automata,
+    "op12_column_suffixes": op12_column_suffixes,
     "op13_recompression": op13_recompression,
 }
