@@ -8,7 +8,8 @@ suffix order of the whole collection, column by column from the right: every rou
 suffix, finds its place from the ranks of that symbol in the Burrows-Wheeler transform, and inserts it there together with
 the common prefixes of its neighbours, in one sequential pass over the transform and over the prefix lengths. What has a common prefix of
 200 bytes in the end is repeated. Segments are aligned at their anchors, so equal windows arrive in the same round, and a
-segment none of whose windows can reach 200 any more stops early. The two sequences are rewritten in order, as files are,
+segment none of whose windows can reach 200 any more stops early; what no other segment of the anchor can reach is
+cut off before. The two sequences are rewritten in order, as files are,
 but stay in memory: a collection holds whole anchors and about ``COLLECTION`` bytes.
 
 An anchor with more than ``KINDS`` different segments is split further, without a limit: its windows are cut into runs of
@@ -34,7 +35,8 @@ WINDOW = 200
 ANCHOR = 64
 #: Anchors to choose from in a window, and windows in a segment at most.
 CHOICE = WINDOW - ANCHOR + 1
-KINDS = 4096
+KINDS = 512
+QUARTER = 35
 RUN = 16
 CORE = WINDOW - RUN + 1
 COLLECTION = 1 << 20
@@ -192,7 +194,7 @@ class Collection:
         self.windows, self.aligned = windows, aligned
         # Bytes from the anchor to the end; the string with most of them starts first.
         behind = self.size - place
-        self.delay = np.where(aligned, behind.max(initial=0) - behind, 0)
+        self.delay = np.where(aligned, behind.max(initial=0, where=aligned) - behind, 0)
         self.many = len(strings)
         self.transform = np.zeros(self.many, self.kind)
         self.common = np.zeros(self.many, np.uint8)
@@ -302,11 +304,43 @@ class Collection:
         return out
 
 
+def narrowed(group: list[tuple]) -> list[tuple]:
+    """Rows (body, weight, windows, place, aligned, id, version, start) of one anchor, cut to the windows that may recur.
+
+    All windows of a quarter, by the anchor's place in them, share the bytes in their middle; a quarter stays where another
+    string has the same ones, and one of them occurs once.
+    """
+    if not group[0][4]:
+        return group
+    middles: dict[tuple[int, bytes], list[int]] = {}
+    for i, (body, _, windows, place, *_) in enumerate(group):
+        for q in range((place - windows + 1) // QUARTER, place // QUARTER + 1):
+            at = place - q * QUARTER
+            middles.setdefault((q, body[at:at + WINDOW - QUARTER + 1]), []).append(i)
+    kept: list[set[int]] = [set() for _ in group]
+    for (q, _), of in middles.items():
+        if len(of) > 1 and any(group[i][1] == 1 for i in of):
+            for i in of:
+                kept[i].add(q)
+    out = []
+    for (body, weight, windows, place, aligned, doc, version, start), quarters in zip(group, kept):
+        while quarters:
+            low = high = min(quarters)
+            while high + 1 in quarters:
+                high += 1
+            quarters -= set(range(low, high + 1))
+            first, last = max(0, place - (high + 1) * QUARTER + 1), min(windows - 1, place - low * QUARTER)
+            part = body[first:last + WINDOW]
+            out.append((part, weight, last - first + 1, place - first, aligned, doc, version, start + first))
+    return out
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by key; collections are cut between keys. Only strings that occur once are reported."""
     names = ["key", "body", "weight", "windows", "place", "aligned", *DOC, "start"]
     held: list[tuple] = []
-    size, key, due = 0, None, 0
+    group: list[tuple] = []
+    key, size = None, 0
 
     def found() -> pa.RecordBatch:
         body, weight, windows, place, aligned, ids, versions, starts = zip(*held)
@@ -322,14 +356,17 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for row in zip(*(batch.column(batch.schema.names.index(name)).to_pylist() for name in names)):
-            if row[0] != key:
+            if row[0] != key and group:
+                held += (more := narrowed(group))
+                size += sum(len(r[0]) for r in more)
+                group.clear()
                 if size >= COLLECTION:
                     yield found()
                     held.clear()
                     size = 0
-                key = row[0]
-            held.append(row[1:])
-            size += len(row[1])
+            key = row[0]
+            group.append(row[1:])
+    held += narrowed(group) if group else []
     if held:
         yield found()
 
@@ -341,7 +378,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     folded = stage(
         each.groupBy("anchor", "digest").agg(
             F.count(F.lit(1)).alias("weight"), F.max("tie").alias("tie"),
-            F.min(F.struct(*DOC, "start", "windows", "place")).alias("first"),
+            *(F.first(c).alias(c) for c in (*DOC, "start", "windows", "place")),  # of one row; any will do
         ),
         "byte-segments-folded",
     )
@@ -355,8 +392,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     whole = each.join(twice, ["anchor", "digest"]).select(*DOC, "start", "windows")
 
     compared = folded.drop("tie").join(anchors.select("anchor", "kinds", "tie"), "anchor")
-    of_doc = compared.groupBy(F.col("first.id").alias("id"), F.col("first.version").alias("version")).agg(F.collect_list(F.struct(
-        F.col("anchor").alias("key"), "weight", "first.start", "first.windows", "first.place", (~F.col("tie")).alias("aligned"),
+    of_doc = compared.groupBy(*DOC).agg(F.collect_list(F.struct(
+        F.col("anchor").alias("key"), "weight", "start", "windows", "place", (~F.col("tie")).alias("aligned"),
         (F.col("kinds") > KINDS).alias("hot"),
     )).alias("chosen"))
     strings = stage(
