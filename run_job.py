@@ -30,6 +30,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     counts.add_argument("--app-name")
     counts.add_argument("--drop-first", action="store_true", help="replace the table")
     counts.add_argument("--no-check-dates", action="store_true", help="load dates again that are loaded")
+    counts.add_argument("--stale-hours", type=float, help="take over dates that a run has held for longer")
     counts.add_argument("--new", action="store_true", help="the target does not exist yet")
 
     curves = step("curves", "append the curve rows of dates not loaded yet")
@@ -68,6 +69,7 @@ def main(argv: list[str] | None = None) -> None:
         loaded = jobs.run_counts(
             source, args.target, args.as_of, args.first, last, args.drop_first, not args.no_check_dates,
             target_exists=not args.new, app_name=args.app_name,
+            stale_after=None if args.stale_hours is None else dt.timedelta(hours=args.stale_hours),
         )
         print("nothing to load" if loaded is None else f"loaded {loaded[0]} to {loaded[1]}")
     elif args.step == "curves":

@@ -1,6 +1,7 @@
 """The jobs: increments, guards, repeated runs, hand-over through tables."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -12,7 +13,7 @@ from tidemark import schemas
 from tidemark.operators.quality import QualityError
 from tidemark.plans import jobs
 from tidemark.session import scratch_path
-from tidemark.sources import sinks, tables
+from tidemark.sources import claims, files, sinks, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -108,9 +109,10 @@ def test_backfill_table_equals_daily_runs(spark, tmp_path):
 def test_chart_feed_folders(spark, tmp_path):
     feed = str(tmp_path / "feed")
     jobs.run_serve(fx.curves(spark, SF), feed, "2024-01-31", n_versions={"release": 3, "nightly": 2})
-    folders = {p.parent.relative_to(tmp_path / "feed").as_posix() for p in (tmp_path / "feed").rglob("*.json")}
-    inside = {f"channel={c}/os={o}" for c in ("release", "nightly") for o in ("Windows_NT", "Darwin", "Linux")}
-    assert folders == {f"{copy}/{part}" for copy in ("2024-01-31", "current") for part in inside}
+    (run,) = (tmp_path / "feed" / "runs").iterdir()
+    folders = {p.parent.relative_to(run).as_posix() for p in run.rglob("*.json")}
+    assert folders == {f"channel={c}/os={o}" for c in ("release", "nightly") for o in ("Windows_NT", "Darwin", "Linux")}
+    assert {p.name: p.read_text() for p in (tmp_path / "feed" / "feeds").iterdir()} == {"2024-01-31": run.name, "current": run.name}
     assert sinks.read_chart_feed(spark, feed).where("show_n > 3").isEmpty()
 
 
@@ -130,6 +132,97 @@ def test_a_second_feed_leaves_nothing_of_the_first(spark, tmp_path, mode):
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
+def test_a_reader_between_two_writes_sees_one_whole_feed(spark, tmp_path):
+    """A reader that came before the switch, one that comes while the new rows are written, and one after."""
+    feed, curves = str(tmp_path / "feed"), fx.curves(spark, SF)
+    jobs.run_serve(curves, feed, "2024-01-30")
+    early = sinks.read_chart_feed(spark, feed)
+    before = sorted(map(str, early.collect()))
+    seen, switch = [], files.replace
+
+    def slow(session, path, text):
+        seen.append(sorted(map(str, sinks.read_chart_feed(spark, feed).collect())))
+        switch(session, path, text)
+
+    sinks.files.replace = slow
+    try:
+        jobs.run_serve(curves.where("channel <> 'beta'"), feed, "2024-01-31")
+    finally:
+        sinks.files.replace = switch
+    after = sorted(map(str, sinks.read_chart_feed(spark, feed).collect()))
+    assert seen == [before, before] and after != before and after
+    assert sorted(map(str, early.collect())) == before
+    assert sinks.read_chart_feed(spark, feed, "2024-01-30").count() == len(before)
+    for _ in range(3):
+        jobs.run_serve(curves, feed, "2024-01-31")
+    assert len(list((tmp_path / "feed" / "runs").iterdir())) == 3  # two that are named, and the one just replaced
+    with pytest.raises(FileNotFoundError, match="2024-01-01"):
+        sinks.read_chart_feed(spark, feed, "2024-01-01")
+
+
+def by_date(spark, target) -> dict:
+    return dict(tables.read_table(spark, target).groupBy("submission_date").agg(F.sum("n")).collect())
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_two_count_runs_at_once_load_each_date_once(spark, clients, tmp_path, monkeypatch, catalog):
+    """The second run starts when the first has checked and claimed its dates, and before it writes."""
+    once = str(tmp_path / "once")
+    target = "counts_at_once" if catalog else str(tmp_path / "table")
+    for name in (once, target):
+        jobs.run_counts(clients, name, "2024-01-06", "2024-01-01", target_exists=False)
+    jobs.run_counts(clients, once, "2024-01-21")
+    write, inner = sinks.load_dates, []
+
+    def interleaved(counts, to):
+        monkeypatch.setattr(sinks, "load_dates", write)
+        inner.append(jobs.run_counts(clients, to, "2024-01-11"))                      # all its dates are taken
+        inner.append(jobs.run_counts(clients, to, "2024-01-26", last="2024-01-24"))   # some of them are
+        write(counts, to)
+
+    monkeypatch.setattr(sinks, "load_dates", interleaved)
+    assert jobs.run_counts(clients, target, "2024-01-21") == (dt.date(2024, 1, 6), dt.date(2024, 1, 20))
+    assert inner == [None, (dt.date(2024, 1, 21), dt.date(2024, 1, 24))]
+    jobs.run_counts(clients, once, "2024-01-25")
+    assert by_date(spark, target) == by_date(spark, once) and len(by_date(spark, once)) == 24
+
+
+def test_count_runs_in_threads(spark, clients, target, tmp_path):
+    once = str(tmp_path / "once")
+    jobs.run_counts(clients, once, "2024-01-31", "2024-01-01", target_exists=False)
+    with ThreadPoolExecutor(4) as pool:
+        runs = [pool.submit(jobs.run_counts, clients, target, "2024-01-31", f"2024-01-{1 + 7 * i:02d}", target_exists=False) for i in range(4)]
+        loaded = [run.result() for run in runs]
+    assert any(loaded) and by_date(spark, target) == by_date(spark, once)
+
+
+def test_dates_of_a_failed_run_are_loaded_by_the_next(spark, clients, target, monkeypatch):
+    jobs.run_counts(clients, target, "2024-01-04", "2024-01-01", target_exists=False)
+    monkeypatch.setattr(sinks, "load_dates", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jobs.run_counts(clients, target, "2024-01-07")
+    monkeypatch.undo()
+    assert claims.failed(spark, target) == [dt.date(2024, 1, d) for d in (4, 5, 6)]
+    assert jobs.run_counts(clients, target, "2024-01-10", "2024-01-08") == (dt.date(2024, 1, 4), dt.date(2024, 1, 9))
+    assert sorted(d.day for d in by_date(spark, target)) == [1, 2, 3, 4, 5, 6, 8, 9]
+    assert {word for word, *_ in claims.states(spark, target).values()} == {claims.DONE}
+
+
+def test_dates_of_a_run_that_died_are_taken_over_once(spark, clients, target):
+    jobs.run_counts(clients, target, "2024-01-04", "2024-01-01", target_exists=False)
+    assert claims.claim(spark, target, [dt.date(2024, 1, 4), dt.date(2024, 1, 5)], "dead")
+    assert jobs.run_counts(clients, target, "2024-01-06") is None
+    assert jobs.run_counts(clients, target, "2024-01-06", stale_after=dt.timedelta(hours=1)) is None
+    assert jobs.run_counts(clients, target, "2024-01-06", stale_after=dt.timedelta(0)) == (dt.date(2024, 1, 4), dt.date(2024, 1, 5))
+    claims.settle(spark, target, [dt.date(2024, 1, 4)], "dead", claims.FAILED)  # it was not dead, but owns nothing now
+    assert claims.failed(spark, target) == []
+    with ThreadPoolExecutor(8) as pool:
+        day = [dt.date(2024, 2, 1)]
+        won = [*pool.map(lambda i: claims.claim(spark, target, day, str(i)), range(16))]
+        taken = [*pool.map(lambda i: claims.claim(spark, target, day, f"next{i}", dt.timedelta(0)), range(1))]
+    assert sum(map(len, won)) == 1 and taken == [day]
+
+
 def test_csv_interchange_keeps_nulls(spark, tmp_path, rows):
     data = [(dt.date(2024, 1, 1), "beta", "Linux", None, "70.0", "20240101", 5)]
     path = str(tmp_path / "csv")

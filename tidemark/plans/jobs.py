@@ -1,6 +1,7 @@
 """The three daily batch jobs and the version dimension."""
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from tidemark.operators.quality import QualityError, duplicate_dates
 from tidemark.plans.counts import version_counts
 from tidemark.plans.curves import adoption_curves, backfill_curves
 from tidemark.plans.serve import chart_feed
-from tidemark.sources import sinks
+from tidemark.sources import claims, sinks
 from tidemark.sources.tables import read_table
 
 Day = dt.date | str
@@ -50,9 +51,15 @@ def run_counts(
     drop_first: bool = False,
     check_dates: bool = True,
     target_exists: bool = True,
+    stale_after: dt.timedelta | None = None,
     **options,
 ) -> tuple[dt.date, dt.date] | None:
-    """Step 1: counts of the missing dates, appended. None when there is nothing to load."""
+    """Step 1: counts of the missing dates, appended. None when there is nothing to load.
+
+    Each date is claimed before it is counted, so of runs at once one loads it, and written as a whole. Dates that an
+    earlier run claimed and failed on are loaded again; those of a run that died are, once they are held longer than
+    ``stale_after``. Without ``check_dates`` rows are added whatever the table holds.
+    """
     spark = clients.sparkSession
     if target_exists:
         start, end = increment_range(read_table(spark, target), as_of, first, last)
@@ -60,14 +67,36 @@ def run_counts(
         raise QualityError("a new table needs a first date")
     else:
         start, end = as_date(first), days_before(as_of, last) if isinstance(last, int) else as_date(last)
-    if start > end:
-        return None
-    if target_exists and check_dates:
+    if not check_dates:
+        if start > end:
+            return None
+        write = sinks.replace_counts if drop_first else sinks.append_counts
+        write(version_counts(clients, start, end, **options), target)
+        return start, end
+    if drop_first:
+        claims.clear(spark, target)
+    elif target_exists and start <= end:
         check_not_loaded(read_table(spark, target), start, end)
-    counts = version_counts(clients, start, end, **options)
-    write = sinks.replace_counts if drop_first else sinks.append_counts
-    write(counts, target)
-    return start, end
+    wanted = {start + dt.timedelta(days=i) for i in range((end - start).days + 1)}
+    wanted |= {day for day in claims.failed(spark, target) if day <= end}
+    if stale_after is not None:
+        held = claims.states(spark, target)
+        wanted |= {day for day, (word, *_) in held.items() if word == claims.HELD and day <= end}
+    owner = uuid.uuid4().hex
+    won = claims.claim(spark, target, sorted(wanted), owner, stale_after)
+    if not won:
+        return None
+    try:
+        counts = version_counts(clients, won[0], won[-1], **options)
+        if len(won) <= (won[-1] - won[0]).days:
+            counts = counts.where(F.col("submission_date").isin(won))
+        write = sinks.replace_counts if drop_first else sinks.load_dates
+        write(counts, target)
+    except BaseException:
+        claims.settle(spark, target, won, owner, claims.FAILED)
+        raise
+    claims.settle(spark, target, won, owner, claims.DONE)
+    return won[0], won[-1]
 
 
 def run_curves(

@@ -1,6 +1,7 @@
 """Writers. Tables are partitioned by date and conformed to their schema before each write."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
@@ -11,10 +12,12 @@ from tidemark.functions.dates import as_date
 from tidemark.operators.aggregates import distinct_dates
 from tidemark.operators.joins import not_loaded
 from tidemark.operators.quality import conform
+from tidemark.sources import files
 from tidemark.sources.tables import is_path, read_table
 
 Day = dt.date | str
 CSV_NULL = "NA"
+CURRENT = "current"
 
 
 def _by_date(df: DataFrame) -> DataFrameWriter:
@@ -40,6 +43,18 @@ def append_counts(counts: DataFrame, target: str) -> None:
         _append_to_table(rows, target)
 
 
+def load_dates(counts: DataFrame, target: str) -> None:
+    """Writes the rows' dates, each as a whole: set aside first and moved in when the job commits.
+
+    Only to be used for dates that the run has claimed. Other dates stay, and so does what other runs write meanwhile.
+    """
+    rows = conform(counts, schemas.VERSION_COUNTS)
+    if is_path(target):
+        _by_date(rows).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+    else:
+        _replace_dates_in_table(rows, target)
+
+
 def replace_counts(counts: DataFrame, target: str) -> None:
     """Full replace: drops what the table holds before loading."""
     writer = _by_date(conform(counts, schemas.VERSION_COUNTS)).option("partitionOverwriteMode", "static").mode("overwrite")
@@ -106,22 +121,30 @@ def append_new_dates(
 
 
 def write_chart_feed(feed: DataFrame, target: str, run_date: Day) -> None:
-    """Chart rows as JSON lines: a folder for the run's date, and a copy of it under ``current``.
+    """Chart rows as JSON lines, in a new folder per run with one folder per channel and system inside.
 
-    Each is replaced as a whole, whatever the session says about overwriting partitions; inside there is one
-    folder per channel and system.
+    A small file under ``feeds`` names the folder of each run date, and of the current run. It is replaced in one step after
+    all rows are written, so a reader finds one whole feed, the old one or the new one. The folders just replaced stay
+    for readers that are at work; older ones that no file names any more are removed.
     """
-    dated = f"{target.rstrip('/')}/{as_date(run_date)}"
-    _replace_feed(feed, dated)
-    _replace_feed(feed.sparkSession.read.schema(feed.schema).json(dated), f"{target.rstrip('/')}/current")
-
-
-def _replace_feed(feed: DataFrame, folder: str) -> None:
-    by_channel = feed.hint("rebalance", "channel", "os").write.partitionBy("channel", "os")
-    by_channel.option("partitionOverwriteMode", "static").mode("overwrite").json(folder)
+    spark, target = feed.sparkSession, target.rstrip("/")
+    name = f"{as_date(run_date)}-{uuid.uuid4().hex}"
+    feed.hint("rebalance", "channel", "os").write.partitionBy("channel", "os").json(f"{target}/runs/{name}")
+    replaced = set()
+    for which in (str(as_date(run_date)), CURRENT):
+        replaced.add(files.read(spark, f"{target}/feeds/{which}"))
+        files.replace(spark, f"{target}/feeds/{which}", name)
+    named = {files.read(spark, f"{target}/feeds/{which}") for which in files.names(spark, f"{target}/feeds") if which[0] != "."}
+    for folder in files.names(spark, f"{target}/runs"):
+        # Unfinished folders of other runs carry no success mark yet.
+        if folder not in named | replaced and files.read(spark, f"{target}/runs/{folder}/_SUCCESS") is not None:
+            files.delete(spark, f"{target}/runs/{folder}")
 
 
 def read_chart_feed(spark: SparkSession, target: str, run_date: Day | None = None) -> DataFrame:
-    """The feed of one run, or the current one."""
-    folder = "current" if run_date is None else str(as_date(run_date))
-    return spark.read.schema(schemas.CHART_FEED).json(f"{target.rstrip('/')}/{folder}")
+    """The feed of one run date, or the current one."""
+    which, target = CURRENT if run_date is None else str(as_date(run_date)), target.rstrip("/")
+    name = files.read(spark, f"{target}/feeds/{which}")
+    if name is None:
+        raise FileNotFoundError(f"no chart feed {which} under {target}")
+    return spark.read.schema(schemas.CHART_FEED).json(f"{target}/runs/{name}")
