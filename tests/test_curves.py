@@ -4,9 +4,12 @@ import datetime as dt
 import random
 
 import pytest
+from plans import executed, scans
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import config, schemas
+from tidemark.operators.ranks import with_parts
 from tidemark.plans import curves as K
 
 START = dt.date(2024, 1, 1)
@@ -147,11 +150,34 @@ def test_sharing_builds_across_display_versions_keeps_duplicates(spark, rows):
     assert rows(got, "build_ids", "n") == [("20231230100000\n20231230100000", 2)]
 
 
-def test_the_curve_job_reads_its_counts_once(spark, tmp_path):
+def test_curve_jobs_read_their_counts_once(spark, tmp_path):
+    """One scan in the plan that ran, whole: no second one for pruning, and none for the other half of a backfill."""
     path = str(tmp_path / "counts")
-    counts(spark, [(START, "release", "Linux", "70.0", "70.0", "20231230100000", 1)]).write.partitionBy("submission_date").parquet(path)
+    counts(spark, [
+        (START + dt.timedelta(days=i), "release", "Linux", "70.0", "70.0", "20231230100000", 1) for i in range(29)
+    ]).write.partitionBy("submission_date").parquet(path)
     stored = spark.read.parquet(path)
-    for curves, scans in ((K.adoption_curves(stored, "2024-01-30"), 1), (K.daily_curves(stored, "2024-01-20", "2024-01-30"), 1)):
+    for curves in (
+        K.adoption_curves(stored, "2024-01-30"), K.daily_curves(stored, "2024-01-20", "2024-01-30"),
+        K.backfill_curves(stored, "2024-01-20", "2024-01-30"),
+    ):
         curves.collect()
-        plan = curves._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert plan.count("FileScan") == scans and "ReusedExchange" in plan
+        assert len(scans(curves)) == 1
+        assert any(n.getClass().getSimpleName() == "ReusedExchangeExec" for n in executed(curves))
+
+
+def test_many_undated_versions_are_numbered_in_parts(spark):
+    """90 % of the versions of one channel and system have no first day: they are numbered as one window would, in parts."""
+    data = spark.range(20_000).select(
+        F.lit("release").alias("channel"), F.when(F.col("id") % 50 == 0, "Darwin").otherwise("Linux").alias("os"),
+        F.concat(F.pmod(F.xxhash64("id"), F.lit(997)).cast("string"), F.lit("."), F.col("id").cast("string")).alias("vers"),
+        F.lit("20231201100000").alias("build_ids"),
+        F.when(F.col("id") % 10 == 0, F.date_add(F.lit(START), (F.col("id") % 7).cast("int"))).alias("vers_min_date_above_npct"),
+    )
+    order = W.partitionBy("channel", "os").orderBy(F.desc_nulls_last("vers_min_date_above_npct"), "vers")
+    want = data.withColumn("nth_recent_release", F.row_number().over(order))
+    got = K.nth_release(data, part_rows=500).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+    parts = with_parts(data.where("vers_min_date_above_npct is null"), ["channel", "os"], F.col("vers"), 500)
+    sizes = [r["count"] for r in parts.groupBy("os", "_part").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 2000 and sum(sizes) == 18_000

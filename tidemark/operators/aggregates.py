@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import config
 from tidemark.functions.builds import build_day, clamp_nightly_day, nearest_build_day
 from tidemark.functions.dates import as_date, days_since
+from tidemark.operators.ranks import PART_ROWS, running_sum
 from tidemark.operators.totals import join_back, with_grand_share, with_group, with_share
 
 Day = dt.date | str
@@ -137,19 +138,15 @@ def peak_build(nightly: DataFrame) -> DataFrame:
     return peak.withColumn("dif", days_since(F.col("submission_date"), build_day(F.col("max_bid"))))
 
 
-def value_distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Relative frequency of a value per group and its running sum.
+def value_distribution(df: DataFrame, keys: Sequence[str], value: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """Relative frequency of a value per group and its running sum, for values of any number.
 
-    ``value`` should have few distinct values (a lag in days); rows are counted per value first.
+    Rows are counted per value first; the counts are then summed up in two levels.
     """
-    along = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    whole = W.partitionBy(*keys)
-    return counted.withColumns(
-        {
-            "freq": F.col("n") / F.sum("n").over(whole),
-            "cum_freq": F.sum("n").over(along) / F.sum("n").over(whole),
-        }
+    summed = running_sum(counted, keys, value, "n", "_upto", "_all", part_rows)
+    return summed.select(
+        *counted.columns, (F.col("n") / F.col("_all")).alias("freq"), (F.col("_upto") / F.col("_all")).alias("cum_freq")
     )
 
 
@@ -168,27 +165,41 @@ def top_mismatches(rows: DataFrame, chan: str, more_than: int, counts: DataFrame
     )
 
 
+def column_profile(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, column_name, data_type, n_rows, filled, n_distinct) of every other column, in one pass.
+
+    Each row becomes one array with a value per column. Equal values of a column are counted first and columns are summed over
+    these counts, so no task holds the values of a column, however many there are. Types are those of the schema.
+    """
+    columns = [f for f in df.schema.fields if f.name not in keys]
+    cells = F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f.name).cast("string").alias("value"))
+        for f in columns
+    ])
+    values = df.select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell.*")
+    counted = values.groupBy(*keys, "column_name", "data_type", "value").agg(F.count("*").alias("n"))
+    return counted.groupBy(*keys, "column_name", "data_type").agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"),
+        F.count("value").alias("n_distinct"),
+    )
+
+
 def null_profile(curves: DataFrame, keys: Sequence[str] = ("channel",)) -> DataFrame:
     """Filled share of each column per channel, leaving out columns that never differ."""
-    columns = [c for c in curves.columns if c not in keys]
-    rates = curves.groupBy(*keys).agg(*[F.avg(F.col(c).isNotNull().cast("int")).alias(c) for c in columns])
-    long = rates.unpivot(list(keys), columns, "column_name", "filled")
-    varied = long.groupBy("column_name").agg((F.max("filled") != F.min("filled")).alias("varies"))
+    rates = column_profile(curves, keys).select(*keys, "column_name", (F.col("filled") / F.col("n_rows")).alias("share"))
+    each = F.struct(*keys, "share")
+    # One row per column, with one entry per channel.
+    varied = rates.groupBy("column_name").agg(F.collect_list(each).alias("_each"), F.max("share").alias("_most"), F.min("share").alias("_least"))
     return (
-        long.join(varied.where("varies"), "column_name")
-        .select(*keys, "column_name", F.round("filled", 1).alias("filled"))
+        varied.where("_most <> _least").select("column_name", F.explode("_each").alias("_of"))
+        .select(*[F.col(f"_of.{k}").alias(k) for k in keys], "column_name", F.round("_of.share", 1).alias("filled"))
     )
 
 
 def distinct_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct values per key column.
-
-    One group-by per column and value, then a count: no single task holds a column's values.
-    """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("column_name"), F.col(k).cast("string").alias("value")) for k in keys
-    ])).alias("kv")).select("kv.*").where("value is not null")
-    return long.distinct().groupBy("column_name").agg(F.count("*").alias("n_distinct"))
+    """Distinct values per key column."""
+    return column_profile(df.select(*keys)).select("column_name", "n_distinct")
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,11 +13,12 @@ from tidemark.functions.builds import build_day, is_old_build
 from tidemark.functions.dates import as_date, days_before, days_between, days_since
 from tidemark.operators.filters import channel_window
 from tidemark.operators.joins import join_release_date
-from tidemark.operators.ranks import position_by
-from tidemark.operators.totals import bounded
+from tidemark.operators.ranks import PART_ROWS, position_by
+from tidemark.operators.totals import join_back
 from tidemark.sources.tables import between_days, read_counts
 
 Day = dt.date | str
+Span = tuple[Day, Day] | None
 CURVE_KEYS = ("channel", "os", "vers")
 DAY_KEYS = ("submission_date", "channel", "os")
 SERIES = len(config.CURVE_CHANNELS) * len(config.OSES)   # channels times systems, at most
@@ -64,23 +65,26 @@ def unify_with_release_dates(counts: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def by_version(unified: DataFrame) -> DataFrame:
+def by_version(unified: DataFrame, span: Span = None) -> DataFrame:
     """(channel, os, vers, submission_date, entries): the counts of each version and day as one list.
 
     The counts were folded, so a day has less than 1 / FOLD_SHARE of them per channel and system, and a list is
     short. Versions, day totals and newest builds are all derived from this one aggregate: what they need is
-    in one column, so Spark cannot prune it differently for each, and they share its shuffle and scan.
+    in one column, so Spark cannot prune it differently for each, and they share its shuffle and scan. ``span`` keeps some of
+    the days; the day is asked of the list too, so that runs over different spans still share the aggregate below.
     """
-    return unified.groupBy(*CURVE_KEYS, "submission_date").agg(
-        F.collect_list(F.struct("bid", "n", "dvers", "vers")).alias("entries")
+    day = F.col("submission_date").alias("day")
+    listed = unified.groupBy(*CURVE_KEYS, "submission_date").agg(
+        F.collect_list(F.struct("bid", "n", "dvers", "vers", day)).alias("entries")
     )
+    return listed if span is None else listed.where(F.col("entries")[0]["day"].between(*map(as_date, span)))
 
 
 def _clients() -> Column:
     return F.aggregate("entries", F.lit(0).cast("long"), lambda total, e: total + e["n"])
 
 
-def collapse_builds(unified: DataFrame) -> DataFrame:
+def collapse_builds(unified: DataFrame, span: Span = None) -> DataFrame:
     """One row per version and day: its build ids as one sorted text, and its clients.
 
     ``top`` (the largest single count with its display version) is carried along so that nightly's
@@ -90,7 +94,7 @@ def collapse_builds(unified: DataFrame) -> DataFrame:
     shown = F.filter("entries", lambda e: e["dvers"].isNotNull())
     top = F.array_min(F.transform(shown, lambda e: F.struct((-e["n"]).alias("neg_n"), e["dvers"].alias("dvers"))))
     # Asked of the list, not of the key: a filter on the key would move below the shared aggregate.
-    named = by_version(unified).where(F.col("entries")[0]["vers"].isNotNull())
+    named = by_version(unified, span).where(F.col("entries")[0]["vers"].isNotNull())
     return named.select(
         *CURVE_KEYS,
         "submission_date",
@@ -101,14 +105,15 @@ def collapse_builds(unified: DataFrame) -> DataFrame:
     )
 
 
-def with_denominator(collapsed: DataFrame, unified: DataFrame, days: int | None = None) -> DataFrame:
+def with_denominator(collapsed: DataFrame, unified: DataFrame, days: int | None = None, span: Span = None) -> DataFrame:
     """Adds the day's total (as largest and smallest, which must agree) and the share of it.
 
     Rows without a version count towards the total but have no curve of their own. ``days`` bounds how many
     dates the counts have, and with them the number of totals.
     """
-    totals = by_version(unified).groupBy(*DAY_KEYS).agg(F.sum(_clients()).alias("day_chan_os_sum"))
-    return collapsed.join(bounded(totals, days and days * SERIES), list(DAY_KEYS)).withColumns(
+    totals = by_version(unified, span).groupBy(*DAY_KEYS).agg(F.sum(_clients()).alias("day_chan_os_sum"))
+    # Null-safe: a plain join on the date would let Spark prune dates by these totals, with a second scan for nothing.
+    return join_back(collapsed, totals, DAY_KEYS, days and days * SERIES).withColumns(
         {
             "day_chan_os_sum_min": F.col("day_chan_os_sum"),
             "n_pct": F.col("n") / F.col("day_chan_os_sum"),
@@ -122,10 +127,10 @@ def _newest() -> Column:
     return F.max(F.array_max(F.transform(built, lambda e: F.struct(e["bid"].alias("bid"), e["vers"].alias("vers")))))
 
 
-def with_latest_flag(collapsed: DataFrame, unified: DataFrame) -> DataFrame:
+def with_latest_flag(collapsed: DataFrame, unified: DataFrame, span: Span = None) -> DataFrame:
     """Marks the version that has the greatest build id of its channel and system."""
-    newest = by_version(unified).groupBy("channel", "os").agg(_newest().alias("newest"))
-    return _flag_latest(collapsed.join(bounded(newest, SERIES), ["channel", "os"]))
+    newest = by_version(unified, span).groupBy("channel", "os").agg(_newest().alias("newest"))
+    return _flag_latest(join_back(collapsed, newest, ["channel", "os"], SERIES))
 
 
 def _flag_latest(df: DataFrame) -> DataFrame:
@@ -198,9 +203,14 @@ def adoption_curves(
     lookback_days: int = config.LOOKBACK_DAYS,
 ) -> DataFrame:
     """The curve table for one as-of date, all channels and systems in one pass."""
-    unified = unify_channels(read_counts(counts, as_of, lookback_days))
-    flagged = with_latest_flag(collapse_builds(unified), unified)
-    shares = with_denominator(flagged, unified, lookback_days + 1)
+    return _curves_as_of(unify_channels(read_counts(counts, as_of, lookback_days)), as_of, months, min_share, lookback_days)
+
+
+def _curves_as_of(
+    unified: DataFrame, as_of: Day, months: Mapping[str, int], min_share: float, lookback_days: int, span: Span = None
+) -> DataFrame:
+    flagged = with_latest_flag(collapse_builds(unified, span), unified, span)
+    shares = with_denominator(flagged, unified, lookback_days + 1, span)
     curves = _finish(shares, min_share)
     return channel_window(curves, as_of, months).select(*schemas.CURVES.fieldNames())
 
@@ -222,11 +232,14 @@ def daily_curves(
     One pass with sliding frames over each version's days replaces a job per day, each of which
     would read its whole lookback again.
     """
+    unified = unify_channels(between_days(counts, days_before(first, lookback_days), last))
+    return _daily_curves(unified, first, last, min_share, lookback_days)
+
+
+def _daily_curves(unified: DataFrame, first: Day, last: Day, min_share: float, lookback_days: int, span: Span = None) -> DataFrame:
     first, last = as_date(first), as_date(last)
-    window = between_days(counts, days_before(first, lookback_days), last)
-    unified = unify_channels(window)
     # Newest build per day first, then up to each day: one row per day, channel and system.
-    per_day = by_version(unified).groupBy(*DAY_KEYS).agg(_newest().alias("newest_of_day"))
+    per_day = by_version(unified, span).groupBy(*DAY_KEYS).agg(_newest().alias("newest_of_day"))
     newest = per_day.select(
         "channel",
         "os",
@@ -234,8 +247,8 @@ def daily_curves(
         F.max("newest_of_day").over(_days_up_to_each(("channel", "os"), lookback_days)).alias("newest"),
     )
     days = days_between(first, last) + lookback_days
-    flagged = _flag_latest(collapse_builds(unified).join(bounded(newest, days * SERIES), list(DAY_KEYS)))
-    curves = _finish(with_denominator(flagged, unified, days), min_share, _days_up_to_each(CURVE_KEYS, lookback_days))
+    flagged = _flag_latest(join_back(collapse_builds(unified, span), newest, DAY_KEYS, days * SERIES))
+    curves = _finish(with_denominator(flagged, unified, days, span), min_share, _days_up_to_each(CURVE_KEYS, lookback_days))
     return between_days(curves, first, last).select(*schemas.CURVES.fieldNames())
 
 
@@ -247,20 +260,25 @@ def backfill_curves(
     min_share: float = config.FIRST_DAY_SHARE,
     lookback_days: int = config.LOOKBACK_DAYS,
 ) -> DataFrame:
-    """What running the curve job for every date of a range, first date on, leaves in its table."""
-    start = adoption_curves(counts, first, months, min_share, lookback_days)
+    """What running the curve job for every date of a range, first date on, leaves in its table.
+
+    The first date's curves and the days after it come from one aggregate over all days either of them reads.
+    """
     if as_date(first) >= as_date(last):
-        return start
-    next_day = days_before(first, -1)
-    return start.unionByName(daily_curves(counts, next_day, last, min_share, lookback_days))
+        return adoption_curves(counts, first, months, min_share, lookback_days)
+    begin, next_day = days_before(first, lookback_days), days_before(first, -1)
+    unified = unify_channels(between_days(counts, begin, last))
+    start = _curves_as_of(unified, first, months, min_share, lookback_days, (begin, first))
+    later = _daily_curves(unified, next_day, last, min_share, lookback_days, (days_before(next_day, lookback_days), last))
+    return start.unionByName(later)
 
 
-def nth_release(curves: DataFrame) -> DataFrame:
+def nth_release(curves: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Numbers versions per channel and system by first day, newest first, undated last.
 
-    The fold label and old builds get no number.
+    The fold label and old builds get no number. Where very many versions have no first day they are numbered in parts.
     """
     real = curves.where((F.col("vers") != config.FOLD_LABEL) & ~is_old_build(F.col("build_ids")))
     firsts = real.groupBy(*CURVE_KEYS).agg(F.min("vers_min_date_above_npct").alias("first_day"))
-    numbered = position_by(firsts, ["channel", "os"], F.col("first_day"), [F.asc("vers")], "nth_recent_release")
+    numbered = position_by(firsts, ["channel", "os"], F.col("first_day"), [F.asc("vers")], "nth_recent_release", along="vers", part_rows=part_rows)
     return curves.join(numbered.drop("first_day"), list(CURVE_KEYS), "left")
