@@ -7,11 +7,12 @@ from checks.joins_and_quality import CURVE_KEYS, ORDER_SQL, matched, shares
 from checks.registered import check
 from checks.rows import WINDOW_SQL, sampled, windowed
 from checks.sql import PUB_DAY, PUB_TEXT, RELEASE_MAJOR, rounded
+from tidemark import schemas
 from tidemark.functions.builds import nearest_build_day
 from tidemark.operators import aggregates as A
 from tidemark.operators import joins as J
 from tidemark.operators import ranks as R
-from tidemark.operators.totals import with_group, with_share
+from tidemark.operators.totals import with_share
 from tidemark.plans import counts as C
 from tidemark.plans import curves as K
 from tidemark.plans import serve
@@ -252,21 +253,27 @@ def _(spark, sf_dir):
     return A.top_mismatches(matched(spark, sf_dir), "beta", 5, fx.counts(spark, sf_dir))
 
 
-PROFILED = ["vers_min_date_above_npct", "days_post_pub", "build_ids", "n_pct", "dvers"]
+PROFILED = [f for f in schemas.CURVES.fields if f.name != "channel"]
+_RATES = ", ".join(f"avg(CAST({f.name} IS NOT NULL AS INTEGER)) AS {f.name}" for f in PROFILED)
 
 
-@check("agg_null_profile", """
-WITH rates AS (
-  SELECT channel, avg(CAST(vers_min_date_above_npct IS NOT NULL AS INTEGER)) AS vers_min_date_above_npct,
-    avg(CAST(days_post_pub IS NOT NULL AS INTEGER)) AS days_post_pub, avg(CAST(build_ids IS NOT NULL AS INTEGER)) AS build_ids,
-    avg(CAST(n_pct IS NOT NULL AS INTEGER)) AS n_pct, avg(CAST(dvers IS NOT NULL AS INTEGER)) AS dvers
-  FROM curves GROUP BY channel
-), long AS (UNPIVOT rates ON vers_min_date_above_npct, days_post_pub, build_ids, n_pct, dvers INTO NAME column_name VALUE filled)
+@check("agg_null_profile", f"""
+WITH rates AS (SELECT channel, {_RATES} FROM curves GROUP BY channel),
+long AS (UNPIVOT rates ON {", ".join(f.name for f in PROFILED)} INTO NAME column_name VALUE filled)
 SELECT channel, column_name, CAST(round(CAST(filled AS DECIMAL(38, 12)), 1) AS DOUBLE) AS filled FROM long
 QUALIFY max(filled) OVER (PARTITION BY column_name) <> min(filled) OVER (PARTITION BY column_name)
 """)
 def _(spark, sf_dir):
-    return A.null_profile(fx.curves(spark, sf_dir).select("channel", *PROFILED))
+    """Every column of the curve table."""
+    return A.null_profile(fx.curves(spark, sf_dir))
+
+
+@check("agg_column_profile", " UNION ALL ".join(
+    f"SELECT channel, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, count(*) AS n_rows, "
+    f"count({f.name}) AS filled, count(DISTINCT {f.name}) AS n_distinct FROM curves GROUP BY channel" for f in PROFILED
+))
+def _(spark, sf_dir):
+    return A.column_profile(fx.curves(spark, sf_dir), ["channel"])
 
 
 @check("agg_key_profile", """
@@ -301,10 +308,7 @@ SELECT eq, nth_recent_release, rank, n, CAST(sum(n) OVER (PARTITION BY eq) AS BI
   sum(n) OVER (PARTITION BY eq) / sum(n) OVER () AS eq_share FROM e
 """)
 def _(spark, sf_dir):
-    curves = fx.curves(spark, sf_dir)
-    ranks = serve.rank_versions(curves).withColumnRenamed("nth_recent_release", "rank")
-    both = K.nth_release(curves).join(ranks, ["channel", "os", "vers"], "left")
-    return A.rank_agreement(both, "nth_recent_release", "rank")
+    return A.rank_agreement(serve.version_ranks(fx.curves(spark, sf_dir)), "nth_recent_release", "rank")
 
 
 @check("agg_build_totals", "SELECT chan, bid, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL")
@@ -333,8 +337,7 @@ SELECT c.chan, c.os, c.vers, c.dvers, c.submission_date, c.bid, min(rls_date) OV
 FROM counts c LEFT JOIN date_lookup l ON c.chan = l.chan AND c.dvers = l.version
 """)
 def _(spark, sf_dir):
-    dated = J.join_release_date(fx.counts(spark, sf_dir), fx.date_lookup(spark, sf_dir))
-    with_first = with_group(dated, ["chan", "os", "vers"], vers_pub_date=F.min("rls_date"))
+    with_first = J.with_first_release(fx.counts(spark, sf_dir), fx.date_lookup(spark, sf_dir))
     return with_first.select("chan", "os", "vers", "dvers", "submission_date", "bid", "vers_pub_date")
 
 

@@ -80,6 +80,13 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CLIENTS_SQL, **paths)
 
 
+def stored_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The client days as a job finds them: a table partitioned by date."""
+    columns = schemas.CLIENTS_DAILY.fieldNames()
+    path = stored(spark, sf_dir, "clients", lambda p: sinks.load_clients(clients(spark, sf_dir).select(*columns), p))
+    return spark.read.parquet(path).select(*columns)
+
+
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -149,9 +156,13 @@ def release_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Release dates by channel and version."""
-    aurora = registry.of_channel(builds(spark, sf_dir), "aurora")
-    return releases.channel_release_dates(product_releases(spark, sf_dir), release_dates(spark, sf_dir), aurora)
+    """The stored table of release dates by channel and version."""
+    def write(path: str) -> None:
+        aurora = registry.of_channel(builds(spark, sf_dir), "aurora")
+        dates = releases.channel_release_dates(product_releases(spark, sf_dir), release_dates(spark, sf_dir), aurora)
+        dates.write.parquet(path)
+
+    return spark.read.parquet(stored(spark, sf_dir, "date-lookup", write))
 
 
 def _registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:

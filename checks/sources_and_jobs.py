@@ -27,7 +27,7 @@ FROM clients WHERE app_name = 'desktop' AND os IN {OSES}
   AND submission_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
 """)
 def _(spark, sf_dir):
-    return tables.scan_clients(fx.clients(spark, sf_dir), "2024-01-05", "2024-01-20", fx.APP).drop("channel", "shard")
+    return tables.scan_clients(fx.stored_clients(spark, sf_dir), "2024-01-05", "2024-01-20", fx.APP).drop("channel")
 
 
 def _flat_registry(df: DataFrame) -> DataFrame:

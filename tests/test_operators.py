@@ -160,3 +160,47 @@ def test_a_table_with_null_keys_equals_itself(spark, rows):
     assert J.compare_counts(df, df, ["k", "v"]).isEmpty()
     assert rows(J.mark_new_rows(df, df.where("k is null"), ["k", "v"]), "n", "n2", "new") == [(1, None, True), (5, 5, False), (7, None, True)]
     assert rows(A.argmax_back(df, ["k"], "n", "v", "best"), "n", "best") == [(1, None), (5, "x"), (7, None)]
+
+
+def test_sums_of_many_values_run_in_parts(spark):
+    """One hot group with as many values as rows, NULL and repeated ones among them, against one plain window."""
+    rows = spark.range(12_000).select(
+        F.when(F.col("id") % 40 == 0, "b").otherwise("a").alias("k"),
+        F.when(F.col("id") % 11 != 0, F.pmod(F.xxhash64("id"), F.lit(9000))).alias("v"), (F.col("id") % 5).alias("n"),
+    )
+    got = A.value_distribution(rows, ["k"], "v", part_rows=300)
+    along = W.partitionBy("k").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    whole = W.partitionBy("k")
+    want = rows.groupBy("k", "v").agg(F.count("*").alias("n")).select(
+        "k", "v", "n", (F.col("n") / F.sum("n").over(whole)).alias("freq"), (F.sum("n").over(along) / F.sum("n").over(whole)).alias("cum_freq")
+    )
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+    share = R.running_share(rows, ["k"], "v", "n", "cdf", part_rows=300)
+    steps = rows.groupBy("k", "v").agg(F.sum("n").alias("n"))
+    want = steps.withColumn("cdf", F.try_divide(F.sum("n").over(along), F.sum("n").over(whole)))
+    assert share.exceptAll(want).isEmpty() and share.count() == want.count()
+    parts = R.with_parts(steps, ["k"], F.col("v"), 300).groupBy("k", "_part").agg(
+        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    ).orderBy("k", "_part").collect()
+    hot = [r for r in parts if r.k == "a" and r.low is not None]
+    assert len(hot) > 10 and max(r.n for r in parts) < 1200
+    assert all(x.high < y.low for x, y in zip(hot, hot[1:]))
+
+
+def test_column_profile(spark, rows):
+    data = [("a", 1, None, True), ("a", 1, 2.5, None), ("b", None, 2.5, True), (None, 3, None, False)]
+    frame = spark.createDataFrame(data, "k string, x int, y double, z boolean")
+    assert rows(A.column_profile(frame)) == sorted([
+        ("k", "string", 4, 3, 2), ("x", "int", 4, 3, 2), ("y", "double", 4, 2, 1), ("z", "boolean", 4, 3, 2)])
+    assert ("a", "x", "int", 2, 2, 1) in rows(A.column_profile(frame, ["k"])) and A.column_profile(frame.limit(0)).isEmpty()
+    assert rows(A.null_profile(frame, ["k"]), "k", "column_name", "filled") == rows(spark.createDataFrame(
+        [("a", "x", 1.0), ("b", "x", 0.0), (None, "x", 1.0), ("a", "y", 0.5), ("b", "y", 1.0), (None, "y", 0.0),
+         ("a", "z", 0.5), ("b", "z", 1.0), (None, "z", 1.0)], "k string, c string, f double"))
+
+
+def test_first_release_is_looked_up_once_per_version(spark, rows):
+    counts = spark.createDataFrame(
+        [("beta", "Linux", "70.0", "70.0b1", 1), ("beta", "Linux", "70.0", "70.0b2", 2), ("beta", "Linux", None, None, 3), ("beta", "Linux", "71.0", "x", 4)],
+        "chan string, os string, vers string, dvers string, n long")
+    dates = spark.createDataFrame([("beta", "70.0b1", "2024-01-05", 1), ("beta", "70.0b2", "2024-01-03", 1)], "chan string, version string, date string, ordinal int")
+    assert rows(J.with_first_release(counts, dates), "n", "vers_pub_date") == [(1, "2024-01-03"), (2, "2024-01-03"), (3, None), (4, None)]

@@ -1,13 +1,32 @@
 """Every registered query against its SQL, and what its plan must not contain."""
 
 import pytest
+from plans import metric, scans
 
 import __spark_entry__ as entry
+from checks import fixtures
 from checks.compare import compare, connect
 from checks.registered import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
+#: Scans of a query's final plan, at most, where it is not one (none is left of an input found empty). The client days are a join of two tables.
+CLIENTS = dict.fromkeys((
+    "flt_stratified_sample set_union_samples flt_fixed_windows prj_build_floor prj_build_floor_const prj_fold_rare join_denominator "
+    "agg_version_counts agg_day_totals agg_reduced_counts agg_daily_by_version agg_current_vs_other"
+).split(), 2)
+#: Rows and their ranks or flags, two tables, or a table and a bound of it taken beforehand.
+BOTH_SIDES = dict.fromkeys((
+    "prj_channel_unify prj_display_cols flt_recent_slider flt_min_bid set_union_releases join_release_date join_build_registry "
+    "join_full_compare join_compare_counts join_new_rows join_anti_dates join_exists_flag dq_min_days dq_value_diff "
+    "dq_unreadable_documents agg_log_hist win_nth_release win_top_n win_group_share top_latest_releases sort_output"
+).split(), 2)
+MORE = dict.fromkeys((
+    "join_rank_using join_channel_order join_anti_versions dq_row_preserving agg_match_rate agg_match_rate_null_date top_k_rows "
+    "agg_top_mismatch win_vers_pub_date src_channel_builds"
+).split(), 3) | {"job_version_dim": 4}
+SCANS = CLIENTS | BOTH_SIDES | MORE
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -41,6 +60,20 @@ def test_query_matches_sql(spark, con, key):
 
     verdict, _ = compare(spark, con, SF, run, entry.oracle_sql()[key])
     assert verdict.startswith("ok"), verdict
+    assert len(scans(frames[0])) <= SCANS.get(key, 1)
     plan = frames[0]._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas", "ExistingRDD"):
         assert operator not in plan
+
+
+def test_the_fact_scan_reads_the_files_of_its_dates(spark):
+    df = entry.queries()["src_fact_scan"](spark, SF)
+    assert df.count() > 0
+    df.collect()
+    (scan,) = scans(df)
+    assert "submission_date" in scan.partitionFilters().toString()
+    assert metric(scan, "numPartitions") == 16 and metric(scan, "numFiles") >= 16
+    whole = spark.read.parquet(fixtures.stored(spark, SF, "clients", None))
+    whole.collect()
+    (every,) = scans(whole)
+    assert metric(every, "numPartitions") == 30 and metric(every, "numFiles") > metric(scan, "numFiles")

@@ -22,6 +22,16 @@ def join_release_date(counts: DataFrame, dates: DataFrame, version: str = "dvers
     return counts.join(lookup, ["chan", version], "left").select(*counts.columns, "rls_date")
 
 
+def with_first_release(counts: DataFrame, dates: DataFrame, keys: Sequence[str] = ("chan", "os", "vers")) -> DataFrame:
+    """Adds ``vers_pub_date``, the earliest release date among a version's display versions.
+
+    Dates are looked up once per version and display version, not per row, and the earliest is joined back.
+    """
+    seen = counts.select(*keys, "dvers").distinct()
+    firsts = join_release_date(seen, dates).groupBy(*keys).agg(F.min("rls_date").alias("vers_pub_date"))
+    return join_back(counts, firsts, keys)
+
+
 def join_ranks(curves: DataFrame, ranks: DataFrame) -> DataFrame:
     """Curve rows with the rank of their version; unranked versions are dropped."""
     return curves.join(ranks, ["os", "vers", "channel"], "left").where(F.col("nth_recent_release").isNotNull())

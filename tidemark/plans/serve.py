@@ -8,10 +8,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import config
+from tidemark.functions.builds import is_old_build
 from tidemark.operators.aggregates import min_builds
 from tidemark.operators.filters import any_of, display_window
 from tidemark.operators.joins import join_ranks
-from tidemark.operators.ranks import position_by
+from tidemark.operators.ranks import PART_ROWS, position_by
+from tidemark.operators.totals import join_back
 from tidemark.sources.tables import read_curves
 
 Day = dt.date | str
@@ -50,6 +52,35 @@ def top_ranks(curves: DataFrame, n_versions: Mapping[str, int] = config.TOP_VERS
     )
 
 
+def version_ranks(curves: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """(channel, os, vers, n, nth_recent_release, rank): clients of each version, its number by first day and its rank by builds.
+
+    Both orders and the sum come from one grouping by version. A version's days (as many as the lookback has, at most) are
+    kept as one list, which Spark cannot prune differently for each use, so all uses share its shuffle and its scan.
+    """
+    real = (F.col("vers") != config.FOLD_LABEL) & ~is_old_build(F.col("build_ids"))
+    day = F.struct(
+        "n", F.when(real, F.col("vers_min_date_above_npct")).alias("first_day"), real.alias("real"),
+        F.when(~F.col("old_build"), F.col("build_ids")).alias("builds"),
+    )
+    listed = curves.groupBy("channel", "os", "vers").agg(F.collect_list(day).alias("days"))
+    each = listed.select(
+        "channel", "os", "vers", F.aggregate("days", F.lit(0).cast("long"), lambda total, d: total + d["n"]).alias("n"),
+        F.array_min(F.transform("days", lambda d: d["first_day"])).alias("first_day"),
+        F.exists("days", lambda d: d["real"]).alias("real"),
+        F.array_min(F.transform("days", lambda d: d["builds"])).alias("builds"),
+    )
+    keys = ["channel", "os"]
+    numbered = position_by(
+        each.where("real").select(*keys, "vers", "first_day"), keys, F.col("first_day"), [F.asc("vers")], "nth_recent_release",
+        along="vers", part_rows=part_rows,
+    )
+    built = each.where("builds is not null").select(*keys, "vers", "builds")
+    ranked = position_by(built, keys, F.substring("builds", 1, 8), [F.desc("builds")], "rank", ties=True)
+    both = join_back(each.select(*keys, "vers", "n"), numbered.drop("first_day"), [*keys, "vers"], how="left")
+    return join_back(both, ranked.drop("builds"), [*keys, "vers"], how="left")
+
+
 def order_versions(curves: DataFrame) -> DataFrame:
     """(os, vers, build_ids, recent_version_order): 1..n per system, ties in version order."""
     oldest = min_builds(curves, "os", "vers")

@@ -34,6 +34,15 @@ def _append_to_table(df: DataFrame, target: str) -> None:
         _by_date(df).saveAsTable(target)
 
 
+def load_clients(clients: DataFrame, target: str) -> None:
+    """Client days, partitioned by date so that a scan of some dates reads their files only. Each date is written whole."""
+    rows = conform(clients, schemas.CLIENTS_DAILY)
+    if is_path(target):
+        _by_date(rows).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+    else:
+        _replace_dates_in_table(rows, target)
+
+
 def append_counts(counts: DataFrame, target: str) -> None:
     """Adds rows; nothing already in the table is replaced."""
     rows = conform(counts, schemas.VERSION_COUNTS)
