@@ -17,7 +17,7 @@ CLIENTS = dict.fromkeys((
 ).split(), 2)
 #: Rows and their ranks or flags, two tables, or a table and a bound of it taken beforehand.
 BOTH_SIDES = dict.fromkeys((
-    "prj_channel_unify prj_display_cols flt_recent_slider flt_min_bid set_union_releases join_release_date join_build_registry "
+    "set_union_channels prj_channel_unify prj_display_cols flt_recent_slider flt_min_bid set_union_releases join_release_date join_build_registry "
     "join_full_compare join_compare_counts join_new_rows join_anti_dates join_exists_flag dq_min_days dq_value_diff "
     "dq_unreadable_documents agg_log_hist win_nth_release win_top_n win_group_share top_latest_releases sort_output"
 ).split(), 2)
