@@ -4,6 +4,8 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
+
 from tidemark.llm import slots as S
 
 
@@ -47,3 +49,27 @@ def test_versions_of_a_map_stay_side_by_side(spark, tmp_path):
     S.write_map(spark, path, [0, 1, 2], 2)
     maps = [sorted((r.virtual_slot, r.shard) for r in S.read_map(spark, path, v).collect()) for v in (1, 2)]
     assert maps == [[(0, 0), (1, 1), (2, 0)], [(0, 0), (1, 1), (2, 2)]]
+
+
+def test_a_stored_map_is_edited_and_rows_follow_their_slots(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    path = f"file://{tmp_path}/map"
+    first = {r.doc_id: r for r in S.shard(docs, 4, slots=256, map_path=path).collect()}
+    second = {r.doc_id: r for r in S.rebalance(docs, path, 6).collect()}
+    assert S.latest_version(spark, path) == 2 and {r.map_version for r in second.values()} == {2}
+    maps = [{r.virtual_slot: r.shard for r in S.read_map(spark, path, v).collect()} for v in (1, 2)]
+    moved = {slot for slot in maps[0] if maps[0][slot] != maps[1][slot]}
+    assert moved and {maps[1][slot] for slot in moved} == {4, 5}
+    for doc, row in second.items():
+        assert row.virtual_slot == first[doc].virtual_slot and row.shard == maps[1][row.virtual_slot]
+        assert (row.shard != first[doc].shard) == (row.virtual_slot in moved)
+    held = defaultdict(int)
+    places = defaultdict(list)
+    for row in second.values():
+        held[row.shard] += row["size"]
+        places[row.shard].append(row.slot)
+    assert max(held.values()) < 1.3 * sum(held.values()) / 6 and all(sorted(x) == list(range(len(x))) for x in places.values())
+    same = S.rebalance(docs, path, 6).collect()
+    assert S.latest_version(spark, path) == 2 and {r.doc_id: r.shard for r in same} == {d: r.shard for d, r in second.items()}
+    with pytest.raises(ValueError, match="6 shards"):
+        S.rebalance(docs, path, 5)

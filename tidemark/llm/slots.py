@@ -122,3 +122,29 @@ def shard(docs: DataFrame, shards: int, slots: int = SLOTS, map_path: str | None
     counts = slot_sizes(rows, slots)
     path = map_path or stage_path(spark, "slot-map")
     return place(rows, write_map(spark, path, assign([b for b, _ in counts], shards), 1), counts)
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The newest version of the map kept at ``path``."""
+    return spark.read.schema(MAP).parquet(f"{path}/version=*").agg(F.max("map_version")).first()[0]
+
+
+def rebalance(docs: DataFrame, map_path: str, shards: int) -> DataFrame:
+    """Places all rows by the newest map edited for ``shards`` shards, which is written as the next version.
+
+    The slots' bytes are measured on ``docs``. Shards are added one at a time, each taking whole slots from the fullest ones; rows
+    of other slots stay in their shard. The map says how many slots there are. Fewer shards than it has are an
+    error; as many leave it as it is, and the rows are placed by it. Of two edits at once the second fails, since its version is there.
+    """
+    spark = docs.sparkSession
+    version = latest_version(spark, map_path)
+    placed = [r["shard"] for r in read_map(spark, map_path, version).orderBy("virtual_slot").collect()]  # one per slot
+    rows = stage(records(docs, slots=len(placed)), "slots")
+    counts = slot_sizes(rows, len(placed))
+    now = max(placed) + 1
+    if shards < now:
+        raise ValueError(f"the map has {now} shards, more than {shards}")
+    for _ in range(shards - now):
+        placed = grow(placed, [b for b, _ in counts])
+    edited = write_map(spark, map_path, placed, version + 1) if shards > now else read_map(spark, map_path, version)
+    return place(rows, edited, counts)
