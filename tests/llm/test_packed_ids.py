@@ -19,9 +19,10 @@ def test_sequences_hold_the_ids(spark, documents):
     for got, window in ((P.pack(rows, vocabulary, 2, window=128), 128), (corpus_pipeline.packed(spark, rows, ""), 4096)):
         sequences, docs = defaultdict(list), defaultdict(list)
         for r in got.collect():
-            assert len(r.ids) == r.length
-            sequences[r.sequence_id].append((r.offset, r.ids))
-            docs[r.doc_id].append((r.start, r.ids))
+            ids = np.frombuffer(r.ids, "<u4").tolist()
+            assert len(ids) == r.length
+            sequences[r.sequence_id].append((r.offset, ids))
+            docs[r.doc_id].append((r.start, ids))
         assert {d: [i for _, ids in sorted(x) for i in ids] for d, x in docs.items()} == want
         for x in sequences.values():
             whole = []

@@ -8,29 +8,28 @@ fillings has a bound that depends on the window and not on the corpus. Rests the
 their rank among rests of the same length, counted while they are cut.
 """
 
-import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.llm.staging import stage
 from tidemark.llm.tokens import encoder
 
-PIECE = "doc_id long, start long, length long, doc_tokens long, part int, nth long, ids array<int>"
+PIECE = "doc_id long, start long, length long, doc_tokens long, part int, nth long, ids binary"
 
 
 def cut(docs: DataFrame, vocabulary: str, end: int, window: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece of at most ``window`` ids of each text (null: empty) with ``end`` added.
 
-    ``part`` is the task that cut the piece and ``nth`` its number among that task's pieces of the same length. Rows with the
-    same id, or the same row twice, are different documents, each with pieces of its own.
+    ``ids`` are little-endian numbers of 32 bits, as trainers map them from files. ``part`` is the task that cut the piece
+    and ``nth`` its number among that task's pieces of the same length. Rows with the same id, or the same row twice, are
+    different documents, each with pieces of its own.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,11 +44,12 @@ def cut(docs: DataFrame, vocabulary: str, end: int, window: int, doc_id: str = "
                 start = (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)) * window
                 length = np.minimum(counts[of] - start, window)
                 at = (ends - counts)[of] + start
-                offsets = pa.array(np.concatenate((at, ends[-1:])), pa.int32())
+                offsets = pa.py_buffer((4 * np.concatenate((at, ends[-1:]))).astype(np.int32))
+                packed = pa.Array.from_buffers(pa.binary(), len(of), [None, offsets, pa.py_buffer(ids.astype("<u4"))])
                 yield pa.RecordBatch.from_arrays(
                     [ids_of.slice(first, len(counts)).cast(pa.int64()).take(pa.array(of)), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(counts[of], pa.int64()), pa.array(np.full(len(of), part), pa.int32()),
-                     pa.array(numbered(length, used), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))],
+                     pa.array(numbered(length, used), pa.int64()), packed],
                     names=["doc_id", "start", "length", "doc_tokens", "part", "nth", "ids"],
                 )
 
@@ -134,32 +134,30 @@ def place(pieces: DataFrame, window: int) -> DataFrame:
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = stage(parts.select("part", "length", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")), "starts")
     counts = {r["length"]: r["n"] for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one per length
-    table = places(plan(counts, window))
-    keys = table[:, 0] << 44 | table[:, 1]
-
-    @F.arrow_udf(T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
-    def located(length: pa.Array, rank: pa.Array) -> pa.Array:
-        size, nth = length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
-        row = table[np.searchsorted(keys, size << 44 | nth, side="right") - 1]
-        ahead = nth - row[:, 1]
-        return pa.StructArray.from_arrays(
-            [pa.array(row[:, 3] + ahead // row[:, 2]), pa.array(row[:, 4] + ahead % row[:, 2] * size)],
-            names=["sequence_id", "offset"],
-        )
-
-    ranked = pieces.join(starts.select("part", "length", "first"), ["part", "length"])
-    return (
-        ranked.withColumn("_at", located("length", F.col("first") + F.col("nth")))
-        .select("doc_id", "start", "length", "doc_tokens", "ids", F.col("_at.sequence_id").alias("sequence_id"), F.col("_at.offset").alias("offset"))
+    fillings = _by_length(pieces.sparkSession, places(plan(counts, window)))
+    ranked = pieces.join(starts.select("part", "length", "first"), ["part", "length"]).join(F.broadcast(fillings), "length")
+    rank = F.col("first") + F.col("nth")
+    # The last entry of the length that begins at this rank or before it.
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(window.bit_length()))])
+    entry = F.aggregate(
+        halves, F.lit(0), lambda low, half: low + F.when(F.get("entries", low + half)["rank"] <= rank, half).otherwise(0)
+    )
+    found = ranked.withColumn("_at", F.get("entries", entry)).withColumn("_ahead", rank - F.col("_at.rank"))
+    return found.select(
+        "doc_id", "start", "length", "doc_tokens", "ids",
+        (F.col("_at.sequence") + F.expr("_ahead DIV _at.each")).alias("sequence_id"),
+        (F.col("_at.offset") + F.col("_ahead") % F.col("_at.each") * F.col("length")).alias("offset"),
     )
 
 
-@F.arrow_udf(T.LongType())
-def checksums(ids: pa.Array) -> pa.Array:
-    """CRC-32 of each list of ids, as unsigned little-endian numbers of 32 bits."""
-    flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-    ends = np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)).tolist()
-    return pa.array([zlib.crc32(flat[a:b]) for a, b in zip([0, *ends], ends)], pa.int64())
+def _by_length(spark: SparkSession, table: np.ndarray) -> DataFrame:
+    """The places as one row per length, at most as many as a window has tokens, with its entries by rank."""
+    rows: dict[int, list[tuple]] = {}
+    for length, *entry in table.tolist():
+        rows.setdefault(length, []).append(tuple(entry))
+    return spark.createDataFrame(
+        [*rows.items()], "length long, entries array<struct<rank: long, each: long, sequence: long, offset: long>>"
+    )
 
 
 def pack(docs: DataFrame, vocabulary: str, end: int, window: int = 4096, **columns: str) -> DataFrame:
@@ -172,4 +170,4 @@ def pack(docs: DataFrame, vocabulary: str, end: int, window: int = 4096, **colum
 
 def with_checksums(packed: DataFrame) -> DataFrame:
     """Adds ids_crc32, taken from the packed ids."""
-    return packed.withColumn("ids_crc32", checksums("ids"))
+    return packed.withColumn("ids_crc32", F.crc32("ids"))
