@@ -30,12 +30,14 @@ LEAST = 10
 INSIDE = 50
 SCALE = 1_000_000
 UNKNOWN = "und"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH = 16 << 20
 #: Shares in which a language's best phrases are looked for.
 SHARES = 32
 #: Words (and ends of pieces) counted together, bytes of text cut into words at a time, and arcs united at a time.
-BLOCK = 1_500_000
+BLOCK = 600_000
 CHUNK = 4 << 20
-UNITED = 2_000_000
+UNITED = 1_500_000
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _FROM = string.ascii_uppercase.encode() + _ENDS + b"\t"
@@ -196,7 +198,7 @@ class Block:
             self.add(list(carried))
 
     def add(self, found: list[bytes]) -> None:
-        self.parts.append(np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found)))
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found)))
         self.size += len(found)
 
     def counted(self) -> tuple[list[bytes], tuple, tuple, tuple]:
@@ -206,7 +208,9 @@ class Block:
         rank = np.zeros(len(words) + 1, np.int64)
         for i, w in enumerate(words, 1):
             rank[self.numbers[w]] = i
-        ids = rank[np.concatenate([np.zeros(0, np.int64), *self.parts])]
+        ids = rank[np.concatenate([np.zeros(0, np.int32), *self.parts])]
+        self.parts.clear()
+        self.numbers.clear()
         many = len(words) + 1
         new = np.arange(len(ids)) >= self.skipped
         single, n1 = np.unique(ids[(ids > 0) & new], return_counts=True)
@@ -351,7 +355,8 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int = 2) -> Iterator[tuple[
     """Rows that come sorted by their first columns, as (key, rows) with the other columns."""
     key, held = None, []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
+        for i in range(batch.num_rows):
+            row = tuple(c[i].as_py() for c in batch.columns)
             if row[:keys] != key:
                 if held:
                     yield key, held
@@ -482,7 +487,10 @@ def collocations(docs: DataFrame, first: int = 2000, lang: str = "lang", text: s
     Null languages count as ``und``, null texts as empty; repeated rows count as often as they occur. A language
     without a phrase that is frequent enough has no row.
     """
-    ranges = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = docs.sparkSession
+    ranges = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Rows with automata are large; by default up to 256 MB of them would be handed over at a time.
+    spark.conf.set(BATCH_BYTES, str(BATCH))
     automata = stage(unions(stage(shards(docs, ranges, lang, text), "count-automata"), least), "united-automata")
     found = stage(scored(automata, ranges), "phrases")
     totals = automata.groupBy("lang").agg(F.sum("total").alias("n"))  # one row per language
