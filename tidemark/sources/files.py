@@ -15,7 +15,7 @@ def _opened(spark: SparkSession, path: str) -> tuple:
     """(Hadoop path, its file system, the path on a local disk or None)."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
-    system = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return at, system, at.toUri().getPath() if system.getUri().getScheme() == "file" else None
 
 
@@ -59,7 +59,7 @@ def replace(spark: SparkSession, path: str, text: str) -> None:
         return
     create_new(spark, aside, text)
     jvm = spark.sparkContext._jvm
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
     rename = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
