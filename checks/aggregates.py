@@ -6,7 +6,7 @@ from checks import fixtures as fx
 from checks.joins_and_quality import CURVE_KEYS, ORDER_SQL, matched, shares
 from checks.registered import check
 from checks.rows import WINDOW_SQL, sampled, windowed
-from checks.sql import PUB_DAY, PUB_TEXT, RELEASE_MAJOR, rounded
+from checks.sql import PUB_DAY, PUB_TEXT, RELEASE_MAJOR, nearest_day, rounded
 from tidemark import schemas
 from tidemark.functions.builds import nearest_build_day
 from tidemark.operators import aggregates as A
@@ -117,11 +117,11 @@ def _(spark, sf_dir):
 
 
 @check("agg_version_build_list", """
-SELECT version, string_agg('''' || build_id || '''', ', ' ORDER BY build_id DESC) AS build_ids
-FROM norc_builds WHERE channel = 'beta' GROUP BY version
+SELECT channel AS chan, version, string_agg('''' || build_id || '''', ', ' ORDER BY build_id DESC) AS build_ids
+FROM every_build GROUP BY channel, version
 """)
 def _(spark, sf_dir):
-    return registry.version_build_list(registry.of_channel(fx.builds(spark, sf_dir), "beta"))
+    return registry.version_build_list(fx.builds(spark, sf_dir), ["chan"])
 
 
 @check("agg_daily_share_gt1", """
@@ -194,10 +194,10 @@ def _(spark, sf_dir):
     return A.top_rows(rated, 30, F.desc("tot"), *[F.asc(k) for k in keys])
 
 
-@check("agg_pivot_min", """
+@check("agg_pivot_min", f"""
 SELECT chan, min(CASE WHEN os = 'Windows_NT' THEN day END) AS Windows_NT, min(CASE WHEN os = 'Darwin' THEN day END) AS Darwin,
   min(CASE WHEN os = 'Linux' THEN day END) AS Linux
-FROM (SELECT chan, os, CAST(strptime(substr(bid, 1, 8), '%Y%m%d') AS DATE) AS day FROM counts WHERE length(bid) > 8) GROUP BY chan
+FROM (SELECT chan, os, {nearest_day('bid')} AS day FROM counts WHERE length(bid) > 8) GROUP BY chan
 """)
 def _(spark, sf_dir):
     return A.earliest_build_day(fx.counts(spark, sf_dir).where("length(bid) > 8"))
@@ -375,9 +375,9 @@ def _(spark, sf_dir):
     return top.select(*CURVE_KEYS, "n", "n_pct", "nth_recent_release")
 
 
-@check("win_cdf", """
-SELECT chan, os, bidd, n, sum(n) OVER (PARTITION BY chan, os ORDER BY bidd) / sum(n) OVER (PARTITION BY chan, os) AS cdf FROM (
-  SELECT chan, os, CAST(strptime(substr(bid, 1, 8), '%Y%m%d') AS DATE) AS bidd, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL)
+@check("win_cdf", f"""
+SELECT chan, os, bidd, n, sum(n) OVER (PARTITION BY chan, os ORDER BY bidd NULLS FIRST) / sum(n) OVER (PARTITION BY chan, os) AS cdf FROM (
+  SELECT chan, os, {nearest_day('bid')} AS bidd, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL)
 """)
 def _(spark, sf_dir):
     counts = fx.counts(spark, sf_dir).withColumn("bidd", nearest_build_day(F.col("bid")))
@@ -435,7 +435,7 @@ def _(spark, sf_dir):
     return serve.sort_for_display(ranked.select("os", "channel", "vers", "submission_date", "nth_recent_release"))
 
 
-@check("sort_registry", f"SELECT version, build_id, {PUB_TEXT} AS date FROM norc_builds WHERE channel = 'beta' ORDER BY pub_ms")
+@check("sort_registry", f"SELECT channel AS chan, version, build_id, {PUB_TEXT} AS date FROM every_build ORDER BY channel, pub_ms")
 def _(spark, sf_dir):
-    builds = registry.of_channel(fx.builds(spark, sf_dir), "beta")
-    return builds.orderBy("date").select("version", "build_id", F.col("date").cast("string").alias("date"))
+    builds = fx.builds(spark, sf_dir)
+    return builds.orderBy("chan", "date").select("chan", "version", "build_id", F.col("date").cast("string").alias("date"))

@@ -29,7 +29,7 @@ WITH items AS (
     CAST((l_orderkey * 7 + l_linenumber * 3) % 30 AS INT) AS d,
     CAST(l_quantity AS INT) % 4 AS lag,
     CASE WHEN l_partkey % 10 < 7 THEN 'Windows_NT' WHEN l_partkey % 10 = 7 THEN 'Darwin'
-      WHEN l_partkey % 10 = 8 THEN 'Linux' ELSE 'Android' END AS os,
+      WHEN l_partkey % 10 = 8 THEN 'Linux' WHEN l_partkey % 20 = 9 THEN 'Android' END AS os,
     CASE l_suppkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 25 WHEN 3 THEN 26
       WHEN 4 THEN 50 WHEN 5 THEN 51 WHEN 6 THEN 75 ELSE 1 END AS sample_id
   FROM {lineitem}
@@ -63,11 +63,14 @@ SELECT
   chan AS channel,
   sample_id,
   app_version,
-  CASE WHEN chan IN ('beta', 'aurora') AND cyc < 5
+  CASE WHEN l_partkey % 73 = 0 THEN NULL
+    WHEN chan IN ('beta', 'aurora') AND cyc < 5
     THEN concat(CAST(vnum AS STRING), '.0b', CAST(cyc + 1 AS STRING)) ELSE app_version END AS app_display_version,
-  CASE WHEN l_partkey % 89 = 0 THEN '20150101000000'
+  CASE WHEN l_partkey % 79 = 0 THEN NULL
+    WHEN l_partkey % 89 = 0 THEN '20150101000000'
     WHEN l_partkey % 97 = 0 AND chan = 'release' THEN '20171110100000'
-    ELSE concat(CAST(year(build_date) * 10000 + month(build_date) * 100 + day(build_date) AS STRING), '100000')
+    ELSE concat(CAST(year(build_date) * 10000 + month(build_date) * 100 + day(build_date) AS STRING),
+      CASE pmod(build_offset, 4) WHEN 0 THEN '100000' WHEN 3 THEN '183000' ELSE '120000' END)
   END AS app_build_id,
   l_linenumber AS shard
 FROM dated
@@ -170,9 +173,14 @@ def _registry_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     build_day = F.to_date(F.substring("app_build_id", 1, 8), "yyyyMMdd")
     published = F.unix_date(build_day).cast("long") * 86_400_000 + (10 + F.col("shard") % 3) * 3_600_000 + F.col("shard") * 7
     platform = F.when(F.col("os") == "Windows_NT", "win64").when(F.col("os") == "Darwin", "macosx64").otherwise("linux64")
+    # Beta releases of the fourth line are also published as candidates, an aurora release as nothing else.
+    chan, version = F.col("normalized_channel"), F.col("app_display_version")
+    candidate = F.concat(version, F.lit("b6rc"))
+    also = (chan == "beta") & version.rlike(r"^\d+\.0$") & (F.col("shard") == 4)
+    version = F.when(also | ((chan == "aurora") & (version == "73.0")), candidate).otherwise(version)
     return clients(spark, sf_dir).select(
         F.col("app_build_id").alias("build_id"),
-        F.col("app_display_version").alias("version"),
+        version.alias("version"),
         published.alias("pub_ms"),
         platform.alias("platform"),
         F.when(F.col("shard") <= 5, "en-US").otherwise("de").alias("locale"),

@@ -87,7 +87,7 @@ SELECT coalesce(p.submission_date, t.submission_date) AS submission_date, coales
   coalesce(p.os, t.os) AS os, coalesce(p.dvers, t.dvers) AS dvers, coalesce(p.vers, t.vers) AS vers,
   coalesce(p.bid, t.bid) AS bid, coalesce(p.n, t.n) AS n, p.n IS NOT NULL AS p, t.n IS NOT NULL AS t
 FROM counts p FULL JOIN test_counts t ON p.submission_date = t.submission_date AND p.chan = t.chan AND p.os = t.os
-  AND p.dvers = t.dvers AND p.vers = t.vers AND p.bid = t.bid AND p.n = t.n
+  AND p.dvers IS NOT DISTINCT FROM t.dvers AND p.vers = t.vers AND p.bid IS NOT DISTINCT FROM t.bid AND p.n = t.n
 """)
 def _(spark, sf_dir):
     return J.full_compare(fx.counts(spark, sf_dir), fx.test_counts(spark, sf_dir), COUNT_KEYS)
@@ -130,14 +130,14 @@ def _(spark, sf_dir):
 
 
 @check("join_exists_flag", """
-SELECT c.*, bid IN (SELECT build_id FROM dated_builds WHERE chan = 'release') AS rls_bid FROM counts c
+SELECT c.*, coalesce(bid IN (SELECT build_id FROM dated_builds WHERE chan = 'release'), false) AS rls_bid FROM counts c
 """)
 def _(spark, sf_dir):
     builds = dated_builds(spark, sf_dir).where("chan = 'release'").select(F.col("build_id").alias("bid"))
     return J.with_presence(fx.counts(spark, sf_dir), builds, ["bid"], "rls_bid")
 
 
-@check("join_anti_versions", "SELECT DISTINCT dvers FROM counts WHERE dvers NOT IN (SELECT version FROM release_dates)")
+@check("join_anti_versions", "SELECT DISTINCT dvers FROM counts WHERE NOT coalesce(dvers IN (SELECT version FROM release_dates), false)")
 def _(spark, sf_dir):
     return J.versions_without_date(fx.counts(spark, sf_dir), fx.release_dates(spark, sf_dir))
 

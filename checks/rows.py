@@ -181,11 +181,12 @@ def _(spark, sf_dir):
 @check("flt_version_kind", """
 SELECT DISTINCT dvers, contains(dvers, 'b') AND NOT contains(dvers, 'rc') AS beta_only, NOT contains(dvers, 'rc') AS with_release,
   contains(dvers, 'b') AS with_rc, true AS everything
-FROM counts
+FROM (SELECT dvers FROM counts UNION SELECT version FROM records)
 """)
 def _(spark, sf_dir):
     v = F.col("dvers")
-    return fx.counts(spark, sf_dir).select(v).distinct().select(
+    published = fx.registry_records(spark, sf_dir).select(F.col("version").alias("dvers"))
+    return fx.counts(spark, sf_dir).select(v).union(published).distinct().select(
         v,
         V.version_kind(v).alias("beta_only"),
         V.version_kind(v, keep_release=True).alias("with_release"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registered import check
-from checks.sql import OSES, PUB_TEXT, RELEASE_MAJOR
+from checks.sql import OSES, PUB_TEXT, RELEASE_MAJOR, nearest_day
 from tidemark import schemas
 from tidemark.functions import dates as D
 from tidemark.functions.builds import build_day, nearest_build_day
@@ -228,22 +228,22 @@ def _(spark, sf_dir):
 @check("job_version_dim", f"""
 WITH v AS (
   SELECT vers AS version FROM counts UNION SELECT dvers FROM counts
-  UNION SELECT version FROM norc_builds WHERE channel = 'beta' UNION SELECT version FROM releases
+  UNION SELECT version FROM every_build UNION SELECT version FROM releases
 )
 SELECT version, length(version) - length(replace(version, '.', '')) = 1 AS is_major, NOT contains(version, 'b') AS is_rc,
-  CASE WHEN contains(version, 'b') THEN split_part(version, 'b', 1) || 'b'
+  CASE WHEN contains(version, 'rc') THEN NULL WHEN contains(version, 'b') THEN split_part(version, 'b', 1) || 'b'
     || lpad(split_part(version, 'b', 2), CAST(greatest(2, length(split_part(version, 'b', 2))) AS INTEGER), '0') ELSE version END AS sortable,
   TRY_CAST(split_part(version, '.', 1) AS INTEGER) AS major,
   {RELEASE_MAJOR} AS release_major,
   TRY_CAST(nullif(regexp_extract(version, '^(\\d\\d+)(\\.\\d)+$', 1), '') AS INTEGER) AS rc_major
-FROM v
+FROM v WHERE version IS NOT NULL
 """)
 def _(spark, sf_dir):
     counts = fx.counts(spark, sf_dir)
     return jobs.version_dimension(
         counts.select(F.col("vers").alias("version")),
         counts.select(F.col("dvers").alias("version")),
-        registry.of_channel(fx.builds(spark, sf_dir), "beta"),
+        fx.builds(spark, sf_dir),
         fx.product_releases(spark, sf_dir),
     )
 
@@ -251,18 +251,19 @@ def _(spark, sf_dir):
 @check("job_build_dim", f"""
 SELECT channel AS chan, version, build_id, strftime(epoch_ms(pub_ms), '%Y-%m-%d %H:%M:%S') AS published,
   CAST(strptime(substr(build_id, 1, 8), '%Y%m%d') AS DATE) AS build_day,
-  CAST(strptime(substr(build_id, 1, 8), '%Y%m%d') AS DATE) AS nearest_day,
+  {nearest_day('build_id')} AS nearest_day,
   CAST(DATE '2024-01-30' - CAST(epoch_ms(pub_ms) AS DATE) AS INTEGER) AS days_since,
   strftime(CAST(epoch_ms(pub_ms) AS DATE) - 90, '%Y%m%d') AS build_bound,
   strftime(CAST(epoch_ms(pub_ms) AS DATE) - 330, '%Y-%m-%d') AS date_bound,
   strftime(epoch_ms(pub_ms), '%Y-%m-%d') AS sql_date,
-  CASE WHEN regexp_matches(version, '^\\d\\d+(\\.\\d)+$')
+  CASE WHEN channel = 'beta' AND regexp_matches(version, '^\\d\\d+(\\.\\d)+$')
     THEN regexp_extract(version, '^(\\d\\d+)(\\.\\d)+$', 1) || 'rc' || build_id ELSE version END AS label
-FROM norc_builds WHERE channel = 'beta'
+FROM every_build
 """)
 def _(spark, sf_dir):
-    """Registry builds with every date column derived from them."""
-    builds = registry.label_rc_builds(registry.of_channel(fx.builds(spark, sf_dir), "beta"))
+    """Registry builds with every date column derived from them. Only beta has candidates that go by their build."""
+    builds = registry.label_rc_builds(fx.builds(spark, sf_dir))
+    builds = builds.withColumn("label", F.when(F.col("chan") == "beta", F.col("label")).otherwise(F.col("version")))
     day = F.col("date").cast("date")
     return builds.select(
         "chan",
@@ -291,7 +292,7 @@ def _text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("schema_map", """
-SELECT submission_date, chan, os, dvers, vers, bid, CASE WHEN dvers <> 'other' THEN CAST(n AS INTEGER) END AS n FROM counts
+SELECT submission_date, chan, os, dvers, vers, bid, CASE WHEN dvers IS DISTINCT FROM 'other' THEN CAST(n AS INTEGER) END AS n FROM counts
 """)
 def _(spark, sf_dir):
     return quality.conform(_text_counts(spark, sf_dir), schemas.VERSION_COUNTS, {"n": T.IntegerType()}, strict=False)

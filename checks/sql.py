@@ -80,16 +80,20 @@ define("view_versions", """
 define("clients", """
   SELECT DATE '2024-01-01' + d AS submission_date, 'desktop' AS app_name,
     CASE WHEN l_partkey % 10 < 7 THEN 'Windows_NT' WHEN l_partkey % 10 = 7 THEN 'Darwin'
-      WHEN l_partkey % 10 = 8 THEN 'Linux' ELSE 'Android' END AS os,
+      WHEN l_partkey % 10 = 8 THEN 'Linux' WHEN l_partkey % 20 = 9 THEN 'Android' END AS os,
     chan AS normalized_channel, chan AS channel,
     CASE l_suppkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 25 WHEN 3 THEN 26
       WHEN 4 THEN 50 WHEN 5 THEN 51 WHEN 6 THEN 75 ELSE 1 END AS sample_id,
     app_version,
-    CASE WHEN chan IN ('beta', 'aurora') AND cyc < 5
+    CASE WHEN l_partkey % 73 = 0 THEN NULL
+      WHEN chan IN ('beta', 'aurora') AND cyc < 5
       THEN CAST(vnum AS VARCHAR) || '.0b' || CAST(cyc + 1 AS VARCHAR) ELSE app_version END AS app_display_version,
-    CASE WHEN l_partkey % 89 = 0 THEN '20150101000000'
+    CASE WHEN l_partkey % 79 = 0 THEN NULL
+      WHEN l_partkey % 89 = 0 THEN '20150101000000'
       WHEN l_partkey % 97 = 0 AND chan = 'release' THEN '20171110100000'
-      ELSE strftime(DATE '2024-01-01' + CAST(build_offset AS INTEGER), '%Y%m%d') || '100000' END AS app_build_id,
+      ELSE strftime(DATE '2024-01-01' + CAST(build_offset AS INTEGER), '%Y%m%d')
+        || CASE WHEN (build_offset + 400) % 4 = 0 THEN '100000' WHEN (build_offset + 400) % 4 = 3 THEN '183000' ELSE '120000' END
+      END AS app_build_id,
     l_linenumber AS shard
   FROM view_versions
 """)
@@ -135,7 +139,10 @@ _counts("test_", 25)
 # ---- Build registry and release dates ----
 
 define("records", """
-  SELECT DISTINCT app_build_id AS build_id, app_display_version AS version,
+  SELECT DISTINCT app_build_id AS build_id,
+    CASE WHEN normalized_channel = 'beta' AND regexp_matches(app_display_version, '^\\d+\\.0$') AND shard = 4
+        OR normalized_channel = 'aurora' AND app_display_version = '73.0'
+      THEN app_display_version || 'b6rc' ELSE app_display_version END AS version,
     CAST(strptime(substr(app_build_id, 1, 8), '%Y%m%d') AS DATE) - DATE '1970-01-01' AS day_no,
     (CAST(strptime(substr(app_build_id, 1, 8), '%Y%m%d') AS DATE) - DATE '1970-01-01') * 86400000
       + (10 + shard % 3) * 3600000 + shard * 7 AS pub_ms,
@@ -154,6 +161,14 @@ define("registry", """
 """)
 
 
+def nearest_day(bid: str) -> str:
+    """Build time rounded to the day; noon goes to the even day since 1970, as rounding half to even does."""
+    day = f"CAST(strptime(substr({bid}, 1, 8), '%Y%m%d') AS DATE)"
+    seconds = " + ".join(f"{unit} * coalesce(TRY_CAST(substr({bid}, {at}, 2) AS INTEGER), 0)" for at, unit in ((9, 3600), (11, 60), (13, 1)))
+    odd = f"({day} - DATE '1970-01-01') % 2 = 1"
+    return f"{day} + CASE WHEN {seconds} > 43200 OR ({seconds} = 43200 AND {odd}) THEN 1 ELSE 0 END"
+
+
 def _runs(name: str, keep: str, since: str) -> None:
     """(channel, version, build_id, pub_ms): smallest kept version and the last run of each."""
     define(f"{name}_triplets", f"""
@@ -184,6 +199,9 @@ PUB_TEXT = "strftime(epoch_ms(pub_ms), '%Y-%m-%d %H:%M:%S')"
 PUB_DAY = "CAST(epoch_ms(pub_ms) AS DATE)"
 RELEASE_MAJOR = "TRY_CAST(nullif(regexp_extract(version, '^(\\d+)\\.\\d+$', 1), '') AS INTEGER)"
 
+define("every_build", """
+  SELECT * FROM norc_builds WHERE channel IN ('release', 'beta') UNION ALL SELECT * FROM any_builds WHERE channel = 'aurora'
+""")
 define("release_list", """
   SELECT chan, version, CASE WHEN version LIKE '60.%' THEN '2017-11-14'
     ELSE coalesce(strftime(min(day), '%Y-%m-%d'), '2015-01-01') END AS day

@@ -19,7 +19,7 @@ CLIENTS = dict.fromkeys((
 BOTH_SIDES = dict.fromkeys((
     "set_union_channels prj_channel_unify prj_display_cols flt_recent_slider flt_min_bid set_union_releases join_release_date join_build_registry "
     "join_full_compare join_compare_counts join_new_rows join_anti_dates join_exists_flag dq_min_days dq_value_diff "
-    "dq_unreadable_documents agg_log_hist win_nth_release win_top_n win_group_share top_latest_releases sort_output"
+    "dq_unreadable_documents agg_log_hist flt_version_kind win_nth_release win_top_n win_group_share top_latest_releases sort_output"
 ).split(), 2)
 MORE = dict.fromkeys((
     "join_rank_using join_channel_order join_anti_versions dq_row_preserving agg_match_rate agg_match_rate_null_date top_k_rows "
@@ -38,7 +38,7 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 1102
+    assert entry.entry(spark).count() == 1151
 
 
 @pytest.mark.parametrize("key, column", [
@@ -50,6 +50,19 @@ def test_the_data_reaches_both_branches(spark, key, column):
     assert rows and (column is None or len({bool(r[column]) for r in rows}) == 2)
 
 
+def test_the_data_holds_odd_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    counts, run = fixtures.counts(spark, sf), lambda key: entry.queries()[key](spark, sf)
+    assert not counts.where("bid IS NULL").isEmpty() and not counts.where("dvers IS NULL").isEmpty()
+    assert not fixtures.clients(spark, sf).where("os IS NULL").isEmpty()
+    kinds = {(r.beta_only, r.with_release, r.with_rc) for r in run("flt_version_kind").collect()}
+    assert {(True, True, True), (False, True, False), (False, False, True)} <= kinds
+    builds = run("job_build_dim").collect()
+    assert {r.chan for r in builds} == {"release", "beta", "aurora"} and any("rc" in r.version for r in builds)
+    noon = {(r.nearest_day - r.build_day).days for r in builds if r.build_id.endswith("120000")}
+    assert noon == {0, 1} and {(r.nearest_day - r.build_day).days for r in builds} == {0, 1}
+
+
 @pytest.mark.parametrize("key", list(QUERIES))
 def test_query_matches_sql(spark, con, key):
     frames = []

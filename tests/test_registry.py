@@ -82,6 +82,9 @@ def test_version_build_list(spark, rows):
         [("70.0b3", b) for b in ("20190902120346", "20190902191027", "20190902160204")], "version string, build_id string"
     )
     assert rows(R.version_build_list(builds)) == [("70.0b3", "'20190902191027', '20190902160204', '20190902120346'")]
+    named = builds.withColumn("chan", F.when(F.col("build_id") < "20190902150000", "aurora").otherwise("beta"))
+    assert rows(R.version_build_list(named, ["chan"])) == [
+        ("aurora", "70.0b3", "'20190902120346'"), ("beta", "70.0b3", "'20190902191027', '20190902160204'")]
 
 
 def test_channel_rules_in_one_pass(spark, rows):

@@ -98,7 +98,7 @@ def collapse_builds(unified: DataFrame, span: Span = None) -> DataFrame:
     return named.select(
         *CURVE_KEYS,
         "submission_date",
-        F.array_join(F.array_sort(bids), "\n").alias("build_ids"),
+        F.nullif(F.array_join(F.array_sort(bids), "\n"), F.lit("")).alias("build_ids"),
         F.array_min(bids).alias("min_build_id"),
         _clients().alias("n"),
         top.alias("top"),

@@ -146,7 +146,8 @@ def _window_start(as_of: Day, months: Mapping[str, int]) -> dt.date:
 def version_dimension(*sources: DataFrame) -> DataFrame:
     """One row per version text seen in any source, with everything derived from it.
 
-    Each source is a frame with a ``version`` column; duplicates go before the shuffle.
+    Each source is a frame with a ``version`` column; duplicates go before the shuffle. Versions with
+    ``rc``, which some channels of the registry keep, have no sortable form.
     """
     versions = sources[0].select("version")
     for source in sources[1:]:
@@ -156,7 +157,7 @@ def version_dimension(*sources: DataFrame) -> DataFrame:
         "version",
         V.is_major(v).alias("is_major"),
         V.is_rc(v).alias("is_rc"),
-        V.sortable_beta(v).alias("sortable"),
+        F.when(~v.contains("rc"), V.sortable_beta(v)).alias("sortable"),
         V.major(v).alias("major"),
         V.release_major(v).alias("release_major"),
         V.rc_major(v).alias("rc_major"),

@@ -196,11 +196,11 @@ def label_rc_builds(builds: DataFrame) -> DataFrame:
     )
 
 
-def version_build_list(builds: DataFrame) -> DataFrame:
-    """Each version with its quoted build ids, newest first, as one comma list."""
+def version_build_list(builds: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Each version with its quoted build ids, newest first, as one comma list; per ``keys``, such as the channel."""
     quoted = F.transform(
         F.reverse(F.array_sort(F.collect_list("build_id"))),
         lambda b: F.concat(F.lit("'"), b, F.lit("'")),
     )
-    return builds.groupBy("version").agg(F.array_join(quoted, ", ").alias("build_ids"))
+    return builds.groupBy(*keys, "version").agg(F.array_join(quoted, ", ").alias("build_ids"))
 
