@@ -46,6 +46,38 @@ def test_pages(page, want):
     assert M.main_text(page or "") == want
 
 
+MENU = "<div>" + "".join(f"<p><a href='/{w}'>{w}</a></p>" for w in ("Home", "World", "Sports", "Weather")) + "</div>"
+
+
+@pytest.mark.parametrize("page, want", [
+    # No element, class or id tells the parts: the menus go, and so does a link between them.
+    (f"{MENU}<div><p>{LONG}</p><p>Interval</p><p>{LONG}</p></div>{MENU}<div><p><a href='/'>Back to the start</a></p></div>{MENU}",
+     f"{LONG} Interval {LONG}"),
+    # Two lines that end no sentence, first and last of the text.
+    (f"{MENU}<div><p>Some words</p><p>{LONG}</p><p>{LONG}</p><p>The end</p></div>{MENU}", f"Some words {LONG} {LONG} The end"),
+    # An advert does not take the line behind it along, and a line behind the article that nothing else holds is not of it.
+    (f"<article><p>{LONG}</p></article><div class='ad'><p>Buy</p></div><div>Interval</div>", LONG),
+    (f"<article><p>{LONG}</p></article><div>Top</div>", LONG),
+])
+def test_pages_without_telling_names(page, want):
+    assert M.main_text(page) == want
+
+
+def test_the_cut_mends_labels(monkeypatch):
+    """The same page without smoothness edges loses the short lines of its text."""
+    page = f"{MENU}<div><p>Some words</p><p>{LONG}</p><p>Interval</p><p>{LONG}</p></div>{MENU}"
+    assert M.main_text(page) == f"Some words {LONG} Interval {LONG}"
+    for name in ("NEXT", "SAME_PARENT", "ACROSS"):
+        monkeypatch.setattr(M, name, 0)
+    assert M.main_text(page) == f"{LONG} {LONG}"
+
+
+def test_edges_cross_the_border(monkeypatch):
+    """A line of no part follows the one part it touches when its own signs are weaker than the edge."""
+    monkeypatch.setattr(M, "ACROSS", 3)
+    assert M.main_text(f"<article><p>{LONG}</p></article><div>Top</div>") == f"{LONG} Top"
+
+
 def test_a_page_of_very_many_blocks():
     page = "<div>" + f"<p>{LONG}</p><p>x</p><ul><li><a>l</a></li></ul>" * 5000 + "</div>"
     assert M.main_text(page).count(LONG) == 5000

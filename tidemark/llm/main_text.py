@@ -43,8 +43,8 @@ INSIDE_WORDS = frozenset("article content entry post story body main text".split
 INSIDE, OUTSIDE, LINKED, LONG, SENTENCE, SHORT, HEADING = 14, -40, -18, 10, 3, -1, 2
 #: Words after which a block counts as fully long.
 LONG_WORDS = 40
-# Capacities of the smoothness edges.
-NEXT, SAME_PARENT = 2, 3
+# Capacities of the smoothness edges; the last is for neighbours in different parts of the page.
+NEXT, SAME_PARENT, ACROSS = 2, 3, 1
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -259,8 +259,8 @@ def main_text(page: str) -> str:
     edges: dict[tuple[int, int], int] = {}
     last_under: dict[tuple[int, int], int] = {}
     for i, (b, _) in enumerate(found):
-        if i and found[i - 1][0].standing == b.standing:
-            edges[i - 1, i] = NEXT
+        if i:
+            edges[i - 1, i] = NEXT if found[i - 1][0].standing == b.standing else ACROSS
         if (before := last_under.get((b.parent, b.standing))) is not None:
             edges[before, i] = edges.get((before, i), 0) + SAME_PARENT
         last_under[b.parent, b.standing] = i
