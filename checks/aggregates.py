@@ -376,12 +376,13 @@ def _(spark, sf_dir):
 
 
 @check("win_cdf", f"""
-SELECT chan, os, bidd, n, sum(n) OVER (PARTITION BY chan, os ORDER BY bidd NULLS FIRST) / sum(n) OVER (PARTITION BY chan, os) AS cdf FROM (
-  SELECT chan, os, {nearest_day('bid')} AS bidd, CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY ALL)
+SELECT chan, os, bidd, n, sum(n) OVER (PARTITION BY chan, os ORDER BY bidd) / sum(n) OVER (PARTITION BY chan, os) AS cdf FROM (
+  SELECT chan, os, {nearest_day('bid')} AS bidd, CAST(sum(n) AS BIGINT) AS n FROM counts WHERE bid IS NOT NULL GROUP BY ALL)
 """)
 def _(spark, sf_dir):
     counts = fx.counts(spark, sf_dir).withColumn("bidd", nearest_build_day(F.col("bid")))
-    return R.running_share(counts, ["chan", "os"], "bidd", "n", "cdf")
+    # Clients without a build have no place on this axis.
+    return R.running_share(counts.where(F.col("bidd").isNotNull()), ["chan", "os"], "bidd", "n", "cdf")
 
 
 @check("win_group_share", """
