@@ -117,9 +117,9 @@ def segments(docs: DataFrame) -> DataFrame:
     each = places.select(*DOC, F.explode(F.arrays_zip("places", "phrases")).alias("a")).select(
         *DOC, F.col("a.places").alias("place"), F.col("a.phrases").alias("phrase")
     )
-    # Counted before it is joined: a phrase in a third of all documents is one row per task here, and the
-    # join may split it.
-    recurring = each.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("phrase")
+    # Counted and written before it is joined, so that both sides of the join are plain and Spark may split
+    # the rows of a phrase in a third of all documents.
+    recurring = stage(each.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("phrase"), "recurring")
     of_doc = each.join(recurring, "phrase").groupBy(*DOC).agg(F.sort_array(F.collect_set("place")).alias("places"))
     return stage(
         docs.join(of_doc, DOC).select(*DOC, "text", "places").mapInArrow(
@@ -210,7 +210,7 @@ def located(distinct: DataFrame, patterns: DataFrame) -> DataFrame:
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // PATTERNS))
     shard = F.pmod("phrase", F.lit(shards)).alias("shard")
     # Only phrases with a pattern are streamed.
-    streamed = distinct.join(patterns.select("phrase").distinct(), "phrase", "left_semi")
+    streamed = distinct.join(stage(patterns.select("phrase").distinct(), "streamed-phrases"), "phrase", "left_semi")
     sources = distinct.join(patterns, ["phrase", "segment"])
     rows = sources.select(shard, "phrase", "segment", *DOC, "start", "body", "places").unionByName(
         streamed.select(shard, "phrase", "segment", *DOC, "start", "body", F.lit(None).cast("array<int>").alias("places"))
@@ -248,7 +248,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     )
     patterns = stage(confirmed(distinct), "patterns")
     again = stage(located(distinct, patterns), "located")
-    firsts = distinct.select("phrase", "segment", F.struct(*DOC, "start").alias("first")).join(again, ["phrase", "segment"], "left")
+    # Written for the same reason: a segment in very many documents is one row here and very many in ``every``.
+    firsts = stage(
+        distinct.select("phrase", "segment", F.struct(*DOC, "start").alias("first")).join(again, ["phrase", "segment"], "left"), "firsts"
+    )
     whole = F.sequence(F.lit(0), F.col("windows") - 1)
     return (
         every.select("phrase", "segment", *DOC, "start", "windows").join(firsts, ["phrase", "segment"])
