@@ -61,3 +61,37 @@ def test_odd_rows(spark, documents, nothing):
     none = labels.where("false")
     assert {r.score for r in C.classify(documents, C.train(documents, none)).collect()} == {1.0}
     assert C.classify(nothing, C.train(nothing, none)).isEmpty()
+
+
+def test_a_long_text_is_passed_over_and_the_sample_goes_on():
+    sizes = [(1, 30), (0, 10), (1, 90), (1, 20), (0, 60), (0, 40)]
+    assert C.within(sizes, 100) == [0, 1, 3, 5]
+    assert C.within([], 100) == [] and C.within([(0, 51)], 100) == []
+
+
+def test_sample_of_skewed_labels(spark, monkeypatch):
+    """One very long text, an id with very many rows, label rows without a document, and a class that most documents have."""
+    monkeypatch.setattr(C, "TEXT_BYTES", 1000)
+    monkeypatch.setattr(C, "SAMPLE_BYTES", 4000)
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    long, often, *rest = learned[:200]
+    rows = [(long, "y" * 1001), (often, "b"), *[(often, "a")] * 500, *((i, f"text {i}") for i in rest)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in learned for _ in range(2)], "doc_id long, quality int")
+    bodies, y, weights = C.training_rows(docs, labels)
+    assert sorted(bodies) == sorted([b"a", *(f"text {i}".encode() for i in rest)])
+    assert {b: v for b, v in zip(bodies, y)} == {b"a": often % 5 > 0, **{f"text {i}".encode(): i % 5 > 0 for i in rest}}
+    # Labels of documents that are not there weigh nothing.
+    assert np.allclose(weights, 1)
+
+
+def test_sample_is_bounded_by_class(spark, monkeypatch):
+    monkeypatch.setattr(C, "SAMPLE_BYTES", 400)
+    learned = [i for i in range(300) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, "z" * (150 if i % 7 == 0 else 20)) for i in learned], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in learned], "doc_id long, quality int")
+    bodies, y, weights = C.training_rows(docs, labels)
+    for label in (0, 1):
+        assert 180 < sum(len(b) for b, v in zip(bodies, y) if v == label) <= 200
+    share = sum(i % 3 > 0 for i in learned) / len(learned)
+    assert weights[y == 1].sum() / weights.sum() == pytest.approx(share)

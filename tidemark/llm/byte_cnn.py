@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.staging import stage
 from tidemark.llm.words import texts
 
 CHUNK, STEP = 256, 192
@@ -21,9 +22,10 @@ WIDTH, STRIDE = 6, 2
 DIMS, FILTERS = 8, 24
 EPOCHS, BATCH, RATE = 8, 32, 0.01
 
-#: Bounds of the training sample: documents of each class, and bytes of text altogether.
+#: Bounds of the training sample: documents of each class, bytes of text altogether (half for each class), and of one text.
 SAMPLE_DOCS = 1500
 SAMPLE_BYTES = 12_000_000
+TEXT_BYTES = 1_000_000
 
 #: Chunks scored at a time.
 BLOCK = 1024
@@ -138,17 +140,32 @@ class Model:
         return self
 
 
+def within(sizes: list[tuple[int, int]], bound: int) -> list[int]:
+    """Positions in ``sizes`` (label, bytes), in order, of the texts kept: a text that no longer fits its class's half is passed over."""
+    kept, used = [], {0: 0, 1: 0}
+    for i, (label, size) in enumerate(sizes):
+        if used[label] + size <= bound // 2:
+            used[label] += size
+            kept.append(i)
+    return kept
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Texts, labels and weights of the sample, from rows that are not held out.
+    """Texts, labels and weights of the sample, from rows of ``docs`` that are labelled and not held out.
 
-    A document whose label rows disagree or are null is left out. Each class gives its first
-    ``SAMPLE_DOCS`` documents in the order of a hash of the id, and the sample ends at ``SAMPLE_BYTES``. The weights
-    bring the classes back to their shares among all labelled documents.
+    A document whose label rows disagree or are null is left out, and so are labels of documents that ``docs`` lacks
+    and texts above ``TEXT_BYTES``; of several rows with one id the least text counts. Each class gives its first
+    ``SAMPLE_DOCS`` documents in the order of a hash of the id, as far as they fit half of ``SAMPLE_BYTES``. The weights
+    bring the classes back to their shares among all labelled documents of ``docs``.
     """
-    voted = (
+    body = F.coalesce("text", F.lit(""))
+    usable = docs.where(F.octet_length(body) <= TEXT_BYTES)
+    voted = stage(
         labels.where("quality in (0, 1) and doc_id is not null").where(fold("doc_id") != HELD_OUT)
         .groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
         .where("label = other").select("doc_id", "label")
+        .join(usable.select("doc_id"), "doc_id", "left_semi"),
+        "labelled",
     )
     held = {r["label"]: r["count"] for r in voted.groupBy("label").count().collect()}  # two rows at most
     order = F.xxhash64("doc_id")
@@ -156,27 +173,25 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.n
     for label in (0, 1):
         part = voted.where(F.col("label") == label).orderBy(order, "doc_id").limit(SAMPLE_DOCS)
         sampled = part if sampled is None else sampled.unionAll(part)
-    # At most 2 x SAMPLE_DOCS ids: small enough to send to every task that reads texts.
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(sampled), "doc_id")
-        .select(order.alias("o"), "label", F.coalesce("text", F.lit("")).alias("text"))
-        .orderBy("o", "text").limit(4 * SAMPLE_DOCS)
+    # At most 2 x SAMPLE_DOCS ids: small enough to send to every task that reads texts. The texts are written
+    # where they are, so that only their sizes are known to the driver when it chooses.
+    rows = stage(
+        usable.select("doc_id", body.alias("text")).join(F.broadcast(sampled), "doc_id")
+        .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+        .select("doc_id", "label", "text", order.alias("o")),
+        "sample",
     )
-    bodies, found, size = [], [], 0
-    for row in rows.toLocalIterator():
-        body = row["text"].encode()
-        size += len(body)
-        if size > SAMPLE_BYTES and len(set(found)) > 1:
-            break
-        bodies.append(body)
-        found.append(row["label"])
-    y = np.array(found, np.float32)
+    sizes = rows.select("doc_id", "label", F.octet_length("text").alias("size")).orderBy("o", "doc_id").collect()
+    chosen = [sizes[i]["doc_id"] for i in within([(r["label"], r["size"]) for r in sizes], SAMPLE_BYTES)]
+    ids = docs.sparkSession.createDataFrame([(x,) for x in chosen], T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)]))
+    found = rows.join(F.broadcast(ids), "doc_id").orderBy("o", "doc_id").select("label", "text").collect()  # SAMPLE_BYTES at most
+    y = np.array([r["label"] for r in found], np.float32)
     weights = np.ones(len(y), np.float32)
     for label in (0, 1):
         if (y == label).any():
             share = held[label] / sum(held.values())
             weights[y == label] = share * len(y) / (y == label).sum()
-    return bodies, y, weights
+    return [r["text"].encode() for r in found], y, weights
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
