@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.staging import stage
+from tidemark.llm.staging import release, stage
 from tidemark.llm.words import texts, words
 
 WINDOW = 20
@@ -121,12 +121,14 @@ def segments(docs: DataFrame) -> DataFrame:
     # the rows of a phrase in a third of all documents.
     recurring = stage(each.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("phrase"), "recurring")
     of_doc = each.join(recurring, "phrase").groupBy(*DOC).agg(F.sort_array(F.collect_set("place")).alias("places"))
-    return stage(
+    found = stage(
         docs.join(of_doc, DOC).select(*DOC, "text", "places").mapInArrow(
             _segments, "phrase long, segment long, id long, version long, start int, windows int, body binary"
         ),
         "segments",
     )
+    release(places, recurring)
+    return found
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,12 +212,14 @@ def located(distinct: DataFrame, patterns: DataFrame) -> DataFrame:
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // PATTERNS))
     shard = F.pmod("phrase", F.lit(shards)).alias("shard")
     # Only phrases with a pattern are streamed.
-    streamed = distinct.join(stage(patterns.select("phrase").distinct(), "streamed-phrases"), "phrase", "left_semi")
+    phrases = stage(patterns.select("phrase").distinct(), "streamed-phrases")
+    streamed = distinct.join(phrases, "phrase", "left_semi")
     sources = distinct.join(patterns, ["phrase", "segment"])
     rows = sources.select(shard, "phrase", "segment", *DOC, "start", "body", "places").unionByName(
         streamed.select(shard, "phrase", "segment", *DOC, "start", "body", F.lit(None).cast("array<int>").alias("places"))
     )
     rows = stage(rows, "automaton-rows")
+    release(phrases)
     # One row per shard.
     sizes = rows.groupBy("shard").agg(
         F.ceil(F.sum(F.coalesce(F.size("places"), F.lit(0))) / PATTERNS).cast("int").alias("parts"),
@@ -228,13 +232,16 @@ def located(distinct: DataFrame, patterns: DataFrame) -> DataFrame:
         rows.join(sizes.where("parts > 0 and shares > 0"), "shard")
         .withColumn("part", F.explode(parts)).withColumn("share", F.explode(shares))
     )
-    return (
+    again = stage(
         dealt.repartition("shard", "part", "share")
         .sortWithinPartitions("shard", "part", "share", F.col("places").isNull())
         .select("shard", "part", "share", "phrase", "segment", *DOC, "start", "body", "places")
         .mapInArrow(_located, "phrase long, segment long, again array<int>")
-        .groupBy("phrase", "segment").agg(F.array_distinct(F.flatten(F.collect_list("again"))).alias("again"))
+        .groupBy("phrase", "segment").agg(F.array_distinct(F.flatten(F.collect_list("again"))).alias("again")),
+        "located",
     )
+    release(rows)
+    return again
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -247,11 +254,12 @@ def repeats(docs: DataFrame) -> DataFrame:
         "distinct-segments",
     )
     patterns = stage(confirmed(distinct), "patterns")
-    again = stage(located(distinct, patterns), "located")
+    again = located(distinct, patterns)
     # Written for the same reason: a segment in very many documents is one row here and very many in ``every``.
     firsts = stage(
         distinct.select("phrase", "segment", F.struct(*DOC, "start").alias("first")).join(again, ["phrase", "segment"], "left"), "firsts"
     )
+    release(distinct, patterns, again)
     whole = F.sequence(F.lit(0), F.col("windows") - 1)
     return (
         every.select("phrase", "segment", *DOC, "start", "windows").join(firsts, ["phrase", "segment"])

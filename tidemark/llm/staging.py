@@ -27,6 +27,15 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*stages: DataFrame) -> None:
+    """Deletes the files of stages that nothing reads any more: what came of them has been written itself."""
+    for df in stages:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(conf).delete(path, True)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Set once for the session: shuffle files go when the query that made them has been written."""
     if spark.conf.get(FREE_SHUFFLES) != "true":
