@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from tidemark.llm.staging import release, stage
 
 
@@ -11,3 +13,10 @@ def test_release(spark):
     release(first, empty)
     assert [os.path.exists(f"/{f.lstrip('/')}") for f in folders] == [False, True]
     assert second.count() == 7
+
+
+def test_other_tables_are_not_released(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/mine")
+    with pytest.raises(ValueError, match="not a stage"):
+        release(spark.read.parquet(f"{tmp_path}/mine"))
+    assert spark.read.parquet(f"{tmp_path}/mine").count() == 3

@@ -12,8 +12,11 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
     Where it is unset, as in tests, the session's warehouse stands in.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/stages"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _base(spark: SparkSession) -> str:
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/stages").rstrip("/")
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -28,12 +31,19 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
 
 
 def release(*stages: DataFrame) -> None:
-    """Deletes the files of stages that nothing reads any more: what came of them has been written itself."""
+    """Deletes the files of stages that nothing reads any more: what came of them has been written itself.
+
+    Only folders that stand directly in the folder of stages go; given a table from elsewhere it is an error.
+    """
     for df in stages:
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        base = jvm.org.apache.hadoop.fs.Path(_base(df.sparkSession))
+        files = base.getFileSystem(conf)
         for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
-            path.getFileSystem(conf).delete(path, True)
+            if not path.getParent().toUri().getPath() == files.makeQualified(base).toUri().getPath():
+                raise ValueError(f"not a stage: {folder}")
+            files.delete(path, True)
 
 
 def free_shuffles(spark: SparkSession) -> None:
