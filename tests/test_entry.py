@@ -44,3 +44,10 @@ def test_only_numbers_go_through_the_join_of_the_client_days(spark, client_days)
         plan = plan.children().apply(0)
     for side in (plan.left(), plan.right()):
         assert "string" not in side.schema().simpleString()
+
+
+def test_registry_days_are_parsed_behind_the_first_grouping(spark, client_days):
+    plan = fixtures._registry_records(spark, client_days)._jdf.queryExecution().optimizedPlan().toString()
+    head, below = plan.split("Aggregate")[1:]
+    assert "gettimestamp" in head and "RLIKE" in head
+    assert "gettimestamp" not in below and "RLIKE" not in below
