@@ -64,3 +64,15 @@ def test_files(spark, documents, nothing, tmp_path):
         O.write_tokens(nothing, empty, vocabulary, END)
     O.write_tokens(documents, empty, vocabulary, END, overwrite=True)
     assert O.read_tokens(spark, empty).count() == documents.count()
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_asked_of_the_model_and_get_the_ids_of_the_whole_library(file):
+    words = ["Word", " word", " ÉCOLE", "ſtraße", " ǅ", "ŉ", " İstanbul", "x1", " it's", "\n\nso", "", " ", ",", "日本", "don't"]
+    encoder = tokens.Encoder(public_tokenizers.path(file), 2)
+    asked, marked = [], encoder._marked
+    encoder._marked = lambda stretches: (asked.extend(stretches), marked(stretches))[1]
+    ids, sizes = encoder._encode(words)
+    assert not {"Word", " word", " ÉCOLE", "ſtraße", " ǅ", "ŉ"} & set(asked) and {" İstanbul", "x1", "日本"} <= set(asked)
+    plain = [Tokenizer.from_file(public_tokenizers.path(file)).encode(w, add_special_tokens=False).ids for w in words]
+    assert [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])] == plain

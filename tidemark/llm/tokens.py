@@ -8,6 +8,7 @@ encoded as it is: a stretch that ends in other white space, which may belong to
 of the vocabulary's special tokens, which the library finds first and gives its own id.
 """
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -18,6 +19,29 @@ import numpy as np
 #: out: its lower case is two characters, of which the second is no letter.
 _STRETCH = re.compile(r"[ \n]*(?:[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]++(?=[!-@\[-`{-~ \n]|\Z)|[^ \n]+)|[ \n]+")
 
+#: Latin letters with at most one space before them: each vocabulary known below takes such a stretch for one pre-token.
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]+")
+#: (normalizer, pre-tokenizer) of vocabularies whose model may be asked for a word directly, and whether they read
+#: words in lower case without the space.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+_KNOWN = [
+    (None, _BYTE_LEVEL | {"use_regex": True}, False),
+    (
+        {"type": "Sequence", "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+        ]},
+        {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+             "behavior": "Removed", "invert": True},
+            _BYTE_LEVEL | {"use_regex": False},
+        ]},
+        True,
+    ),
+]
+#: The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from U+0100 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 #: Stretches kept for good by each worker; later ones are forgotten after use. Bounds memory, not results.
 KEPT = 400_000
 #: Characters encoded together.
@@ -144,6 +168,10 @@ class Encoder(StretchEncoder):
         self._special = re.compile("|".join(re.escape(t.content) for t in added.values())) if added else None
         plain = [(i, t.content) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self._between = plain[0] if plain else None
+        with open(vocabulary, encoding="utf-8") as file:
+            parts = json.load(file)
+        lowered = [low for n, p, low in _KNOWN if (n, p) == (parts.get("normalizer"), parts.get("pre_tokenizer"))]
+        self._direct, self._lowered = bool(lowered) and parts["model"]["type"] == "BPE", lowered == [True]
 
     def _uncut(self, text: str) -> bool:
         return self._special is not None and self._special.search(text) is not None
@@ -152,6 +180,29 @@ class Encoder(StretchEncoder):
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
     def _encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words go to the vocabulary's model at once, which takes a third of the time; all else goes through the whole library."""
+        if not self._direct:
+            return self._marked(stretches)
+        word = np.fromiter((_WORD.fullmatch(s) is not None for s in stretches), bool, len(stretches))
+        rest, rest_sizes = self._marked([s for s, w in zip(stretches, word) if not w])
+        words = [s for s, w in zip(stretches, word) if w]
+        if self._lowered:
+            words = [s.lstrip(" ").lower() for s in words]
+        # Of ASCII only the space is written in another way.
+        words = [s.replace(" ", "Ġ") if s.isascii() else s.encode().decode("latin-1").translate(_BYTES) for s in words]
+        found, counts, tokenize = [], [], self._tokenizer.model.tokenize
+        for w in words:
+            ids = [t.id for t in tokenize(w)]
+            found += ids
+            counts.append(len(ids))
+        sizes = np.zeros(len(stretches), np.int64)
+        sizes[word], sizes[~word] = counts, rest_sizes
+        of_word = np.repeat(word, sizes)
+        ids = np.zeros(len(of_word), np.int32)
+        ids[of_word], ids[~of_word] = found, rest
+        return ids, sizes
+
+    def _marked(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self._between is None:
             found = [self._whole(s) for s in stretches]
             return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(f) for f in found], np.int64)
