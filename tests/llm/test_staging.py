@@ -2,9 +2,12 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 
+from tidemark.llm import staging, tokens
 from tidemark.llm.staging import release, stage
+from tidemark.llm.words import texts
 
 
 def test_release(spark):
@@ -20,3 +23,16 @@ def test_other_tables_are_not_released(spark, tmp_path):
     with pytest.raises(ValueError, match="not a stage"):
         release(spark.read.parquet(f"{tmp_path}/mine"))
     assert spark.read.parquet(f"{tmp_path}/mine").count() == 3
+
+
+def test_batches_of_texts_are_bounded_from_the_first_stage_on(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    staging.stage(spark.range(1), "bounded")
+    assert spark.conf.get(setting) == str(staging.BATCH)
+
+
+def test_a_worker_that_reads_texts_as_bytes_keeps_no_encoders():
+    tokens._ENCODERS["some", 2] = object()
+    assert texts(pa.array(["a", None])) == [b"a", b""]
+    assert not tokens._ENCODERS

@@ -224,3 +224,8 @@ def encoder(vocabulary: str, end: int) -> Encoder:
     if (vocabulary, end) not in _ENCODERS:
         _ENCODERS[vocabulary, end] = Encoder(vocabulary, end)
     return _ENCODERS[vocabulary, end]
+
+
+def forget() -> None:
+    """Gives back what the worker's encoders keep; called where it turns to other work."""
+    _ENCODERS.clear()

@@ -5,9 +5,15 @@
 
 import pyarrow as pa
 
+from tidemark.llm import tokens
+
 
 def texts(column: pa.Array) -> list[bytes]:
-    """UTF-8 bytes of each text; null becomes empty."""
+    """UTF-8 bytes of each text; null becomes empty.
+
+    Spark hands workers on from job to job: one that reads texts as bytes is done with encoding them.
+    """
+    tokens.forget()
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
